@@ -72,7 +72,8 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session("compare", {
         "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     for name in names:

@@ -5,6 +5,7 @@ from __future__ import annotations
 # --- formats -------------------------------------------------------------
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 OPEN_END = "9999-12-31"
 
 # --- labels --------------------------------------------------------------

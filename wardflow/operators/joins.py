@@ -1,4 +1,4 @@
-"""Join helpers shared by the aggregates."""
+"""Ways to put aggregates together."""
 
 from __future__ import annotations
 
@@ -31,3 +31,9 @@ def aggregate_with_distincts(rows: DataFrame, keys: list[str], measures: list[Co
         counts = rows.groupBy(*keys).agg(F.count_distinct(column).alias(name))
         result = on_group_keys(result, counts, keys)
     return result
+
+
+def side_by_side(*totals: DataFrame) -> DataFrame:
+    """One row holding the columns of several one-row aggregates, whose names must differ."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

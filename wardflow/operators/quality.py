@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardflow import constants as K
 from wardflow.functions import numeric
+from wardflow.operators.joins import side_by_side
 
 
 class QualityError(Exception):
@@ -41,7 +42,7 @@ def dq_summary(bronze: DataFrame, flagged: DataFrame) -> DataFrame:
         F.count_if(F.col("dq_flag") == K.VALID).alias("valid_rows"),
         F.count_if(F.col("dq_flag") != K.VALID).alias("quarantined_rows"),
     )
-    return raw.crossJoin(checked).withColumns({
+    return side_by_side(raw, checked).withColumns({
         "duplicates_removed": F.col("bronze_rows") - F.col("deduplicated_rows"),
         "valid_pct": numeric.share_pct(F.col("valid_rows"), F.col("bronze_rows"), 1),
         "quarantined_pct": numeric.share_pct(F.col("quarantined_rows"), F.col("bronze_rows"), 1),

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow import constants as K
+from wardflow.operators.joins import side_by_side
 
 
 def audit_row(spark: SparkSession, step: str, layer: str, status: str, records_in: int,
@@ -43,7 +42,7 @@ def layer_reconciliation(bronze_admissions: DataFrame, bronze_labs: DataFrame,
         _counts(flagged_labs, lab=valid).drop("rows"),
         *[_counts(t).withColumnRenamed("rows", f"out_{n}") for n, t in gold.items()],
     ]
-    wide = reduce(DataFrame.crossJoin, counts)
+    wide = side_by_side(*counts)
 
     def step(name, layer, records_in, records_out, notes=None):
         return F.struct(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardflow import constants as K
 from wardflow.functions import labels, numeric
+from wardflow.operators.joins import side_by_side
 
 mean = numeric.mean_of_doubles
 
@@ -36,8 +37,8 @@ def summary(kpis: DataFrame, critical: DataFrame, quarantined_rows: DataFrame) -
     alerts = critical.agg(F.count(F.lit(1)).alias("critical_labs"))
     rejected = quarantined_rows.agg(F.count(F.lit(1)).alias("quarantined"))
     total = F.col("total_admissions") + F.col("quarantined")
-    return (totals.crossJoin(alerts).crossJoin(rejected)
-            .withColumn("data_quality_pct", numeric.share_pct(F.col("total_admissions"), total, 1)))
+    return side_by_side(totals, alerts, rejected).withColumn(
+        "data_quality_pct", numeric.share_pct(F.col("total_admissions"), total, 1))
 
 
 def dept_annual(kpis: DataFrame) -> DataFrame:
@@ -199,7 +200,7 @@ def clinical_headline(critical: DataFrame, readmissions: DataFrame) -> DataFrame
         numeric.rounded(numeric.ratio(F.sum("tat"), F.sum("n_tat")), 0).alias("avg_tat_minutes"))
     risk = readmissions.agg(
         F.count_if(F.col("readmission_risk_tier") == K.RISK_LEVELS[0][1]).alias("high_risk_groups"))
-    return labs.crossJoin(risk)
+    return side_by_side(labs, risk)
 
 
 def risk_bubble(readmissions: DataFrame) -> DataFrame:

@@ -31,9 +31,10 @@ def write_csv(table: DataFrame, path: str) -> None:
 
 
 def write_audit_json(audit: DataFrame, path: str) -> None:
-    audit.write.mode("overwrite").json(path)
+    audit.write.mode("overwrite").option("timestampFormat", K.JSON_TIMESTAMP_FORMAT).json(path)
 
 
 def read_audit_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
     """Audit records, one per line or (``array``) as one JSON array per file."""
-    return spark.read.schema(K.AUDIT_DDL).option("multiLine", array).json(path)
+    return (spark.read.schema(K.AUDIT_DDL).option("multiLine", array)
+            .option("timestampFormat", K.JSON_TIMESTAMP_FORMAT).json(path))
