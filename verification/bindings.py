@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.sources.files import read_parquet
+
 # Labs share an id across results; these columns order them completely.
 LAB_TIE_BREAK = ["_tiebreak_part", "_tiebreak_supp", "_tiebreak_price"]
 DEPARTMENTS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -18,7 +20,7 @@ BATCH = "20240101_020000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +69,7 @@ def admission_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    shifted = ("date_format(CAST(l_shipdate AS TIMESTAMP) + make_dt_interval(0, CAST({} AS INT)), "
-               "'yyyy-MM-dd HH:mm:ss')")
+    shifted = "CAST(CAST(l_shipdate AS TIMESTAMP) + make_dt_interval(0, CAST({} AS INT)) AS STRING)"
     return results.selectExpr(
         "l_orderkey * 10 + l_linenumber AS lab_id",
         "o_custkey AS patient_id",

@@ -641,8 +641,8 @@ _FINALS = {
       FROM fin GROUP BY department, insurer_name""",
     "shiny_clinical": f"""SELECT critical_labs, departments, avg_tat_minutes, high_risk_groups
       FROM (SELECT COUNT(*) AS critical_labs,
-              COUNT(DISTINCT department) + MAX(CASE WHEN department IS NULL THEN 1 ELSE 0 END)
-                AS departments,
+              COUNT(DISTINCT department)
+                + COALESCE(MAX(CASE WHEN department IS NULL THEN 1 ELSE 0 END), 0) AS departments,
               {_avg_exact("tat_minutes", 0)} AS avg_tat_minutes FROM crit),
            (SELECT COUNT(*) FILTER (WHERE readmission_risk_tier = 'HIGH_RISK') AS high_risk_groups
             FROM readmit)""",

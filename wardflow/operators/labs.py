@@ -42,11 +42,10 @@ def flagged_labs(bronze: DataFrame, keys: list[str] | None = None,
     """Every deduplicated result with its ``dq_flag``.
 
     The default key is (lab_id, marker): all markers of a panel share one lab_id, and keying on
-    lab_id alone would throw away all but one of them.
+    lab_id alone would throw away all but one of them. As with admissions, parsing comes first.
     """
     if newest_first is None:
         newest_first = ["_ingested_at"] if "_ingested_at" in bronze.columns else []
-    one_each = latest_per_key(bronze, keys or LAB_KEY, newest_first, tie_break)
-    rows = derived(typed(one_each))
+    rows = derived(latest_per_key(typed(bronze), keys or LAB_KEY, newest_first, tie_break))
     return (rows.withColumn("dq_flag", rules.quality_flag(rules.lab_rules()))
             .drop("_source", "_source_file", "_batch_id"))

@@ -1,10 +1,30 @@
-"""CSV and JSON in and out."""
+"""Parquet, CSV and JSON in and out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow import constants as K
+from wardflow.sources.lake import input_bytes
+
+# A table above SPREAD_FROM but below SPREAD_PER_CORE per core may sit in fewer row groups than
+# there are cores.
+SPREAD_FROM = 1024 * 1024
+SPREAD_PER_CORE = 16 * 1024 * 1024
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet, spread over the cores when it is too small to arrive in enough splits.
+
+    A row group is never split, so one written in a single row group is read, and everything up
+    to the next exchange is computed, by one task. The size limits keep this to inputs that are
+    cheap to move; a table of many splits is read as it lies.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if SPREAD_FROM <= input_bytes(spark, path) < cores * SPREAD_PER_CORE:
+        rows = rows.repartition(cores)
+    return rows
 
 
 def read_csv(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:

@@ -12,29 +12,34 @@ _CORRUPT = "_corrupt"
 
 
 def _decoded(messages: DataFrame) -> DataFrame:
+    """Message fields next to the raw text.
+
+    The parsed struct goes through ``inline``, so that it is computed once per message; as a
+    plain column it would be parsed again in every filter and projection that reads a field.
+    """
     text = F.col("value").cast("string")
     schema = f"{K.VITALS_MESSAGE_DDL}, {_CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return messages.withColumns({
-        "_raw": text, "_data": F.from_json(text, schema, options)})
+    return messages.select(text.alias("raw_value"),
+                           F.inline(F.array(F.from_json(text, schema, options))))
 
 
-def _unusable() -> Column:
-    """No JSON object, a field of the wrong type, or no identity to land the reading under."""
-    return (F.col("_data").isNull() | F.col(f"_data.{_CORRUPT}").isNotNull()
-            | F.col("_data.message_id").isNull() | F.col("_data.patient_id").isNull())
+def _usable() -> Column:
+    """Well-formed, every field of its type, and with an identity to land the reading under."""
+    return (F.col(_CORRUPT).isNull() & F.col("message_id").isNotNull()
+            & F.col("patient_id").isNotNull())
 
 
 def parse_vitals(messages: DataFrame) -> DataFrame:
     """Usable messages of a source with a ``value`` column, flattened and typed."""
-    return (_decoded(messages).filter(~_unusable()).select("_data.*").drop(_CORRUPT)
-            .withColumn("event_ts", F.try_to_timestamp("timestamp")).drop("timestamp"))
+    return (_decoded(messages).filter(_usable())
+            .withColumn("event_ts", F.try_to_timestamp("timestamp"))
+            .drop("timestamp", "raw_value", _CORRUPT))
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
     """Messages ``parse_vitals`` leaves out, with their raw text."""
-    return (_decoded(messages).filter(_unusable())
-            .select(F.col("_raw").alias("raw_value")))
+    return _decoded(messages).filter(~_usable()).select("raw_value")
 
 
 def with_ingest_time(rows: DataFrame) -> DataFrame:
@@ -52,22 +57,19 @@ def vitals_alerts(vitals: DataFrame, ranges: dict | None = None) -> DataFrame:
     """One row per reading outside its normal range.
 
     A message its monitor marked anomalous although every reading is normal yields one row,
-    ``device_flag``. The thresholds are part of the expression, so nothing is joined, and normal
-    readings are dropped before the rows multiply.
+    ``device_flag``. The thresholds are part of the expression, so nothing is joined or shuffled.
     """
-    readings = [
+    severities = {v: _severity(v, limits) for v, limits in (ranges or K.VITAL_RANGES).items()}
+    all_normal = F.coalesce(*severities.values()).isNull()
+    candidates = [
         F.struct(F.lit(vital).alias("vital"), F.col(vital).cast("double").alias("reading"),
-                 _severity(vital, limits).alias("severity"))
-        for vital, limits in (ranges or K.VITAL_RANGES).items()]
-    outside = F.filter(F.array(*readings), lambda r: r["severity"].isNotNull())
-    flagged = F.array(F.struct(
+                 severity.alias("severity")) for vital, severity in severities.items()]
+    candidates.append(F.struct(
         F.lit("device_flag").alias("vital"), F.lit(None).cast("double").alias("reading"),
-        F.lit("ABNORMAL").alias("severity")))
-    alerts = F.when((F.size(outside) == 0) & F.col("is_anomaly"), flagged).otherwise(outside)
+        F.when(F.col("is_anomaly") & all_normal, "ABNORMAL").alias("severity")))
     return (vitals.select("message_id", "patient_id", "department", "event_ts", "is_anomaly",
-                          F.explode(alerts).alias("alert"))
-            .select("message_id", "patient_id", "department", "event_ts", "alert.*",
-                    "is_anomaly"))
+                          F.inline(F.array(*candidates)))
+            .filter(F.col("severity").isNotNull()))
 
 
 def alert_summary(alerts: DataFrame) -> DataFrame:
