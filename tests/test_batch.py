@@ -11,7 +11,7 @@ from conftest import rows
 from helpers import ADMISSION, LAB
 from wardflow import constants as K
 from wardflow.operators import patient_dim, quality
-from wardflow.plans import batch
+from wardflow.plans import batch, endpoints
 from wardflow.session import MAX_PARTITIONS, MIN_PARTITIONS, shuffle_partitions_for
 from wardflow.sources import files
 from wardflow.sources.lake import Lake, input_bytes
@@ -96,6 +96,26 @@ def test_dimension(finished):
     assert looked_up.count() == 59
 
 
+def test_every_endpoint_answers(finished):
+    lake, _ = finished
+    got = {name: query(lake).count() for name, query in endpoints.ENDPOINTS.items()}
+    assert got.pop("audit") >= 11
+    assert got["summary"] == 1 and got["dept-annual"] == 2 and got["critical-labs"] == 20
+    assert all(got.values())
+    summary = endpoints.ENDPOINTS["summary"](lake).first()
+    assert (summary["total_admissions"], summary["quarantined"]) == (59, 1)
+    assert summary["data_quality_pct"] == 98.3
+
+
+def test_expectation_results_are_kept(finished):
+    lake, _ = finished
+    results = {(r["table_name"], r["column_name"], r["test"]): r["failures"]
+               for r in lake.read(batch.EXPECTATIONS).collect()}
+    assert results[(batch.SILVER_ADMISSIONS, "admission_id", "unique")] == 0
+    assert results[(batch.SILVER_LABS, "lab_id", "unique")] == 39
+    assert results[(batch.GOLD_LOS, "department", "accepted_values")] == 0
+
+
 def test_rerun_of_a_batch_changes_nothing(spark, finished, delivered):
     lake, run = finished
     before = rows(run.silver(batch.SILVER_ADMISSIONS).drop("_ingested_at", "_silver_processed_at"))
@@ -135,8 +155,22 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
 def test_failed_gate_stops_the_run(spark, tmp_path):
     bad = write(tmp_path / "a.csv", ADMISSION, [{"age": "-1"}])
     labs = write(tmp_path / "l.csv", LAB, [{}])
+    lake = Lake(spark, str(tmp_path / "lake"))
     with pytest.raises(quality.QualityError):
-        batch.run_batch(spark, Lake(spark, str(tmp_path / "lake")), "b", bad, labs, resize=False)
+        batch.run_batch(spark, lake, "b", bad, labs, resize=False)
+    last = endpoints.ENDPOINTS["audit"](lake).collect()[-1]
+    assert (last["step"], last["status"]) == ("check", "failure")
+    assert "admissions_not_empty" in last["notes"]
+
+
+def test_command_line():
+    from wardflow.main import arguments
+    args = arguments(["batch", "--lake", "/l", "--admissions", "a", "--labs", "b",
+                      "--stage", "build_gold", "--batch-id", "x"])
+    assert args.stage == ["build_gold"] and args.batch_id == "x"
+    assert arguments(["query", "--lake", "/l", "--endpoint", "cost-tier"]).endpoint == "cost-tier"
+    with pytest.raises(SystemExit):
+        arguments(["stream", "--lake", "/l", "--checkpoints", "/c"])
 
 
 def test_csv_source_reads_text_and_nulls(spark, delivered):

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from verification import bindings as B
 from wardflow import constants as K
+from wardflow.functions.parsing import iso_date
 from wardflow.operators import admissions as adm
 from wardflow.operators import dedup, gold, ingest, patient_dim, quality, reports
 from wardflow.operators import labs as lab
@@ -133,7 +134,7 @@ def comparable(rows: DataFrame) -> DataFrame:
 
 def _last_three_loads(d: Layers) -> DataFrame:
     """Admissions as monthly loads: the month is the batch, the admission day its arrival."""
-    parsed = F.try_to_date("admission_date", K.DATE_FORMAT)
+    parsed = iso_date("admission_date")
     dated = d.bronze.withColumns({
         "_batch_id": F.coalesce(F.date_format(parsed, "yyyyMM"), F.lit("undated")),
         "_ingested_at": parsed.cast("timestamp")})

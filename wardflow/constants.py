@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 # --- formats -------------------------------------------------------------
-DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 OPEN_END = "9999-12-31"
 
+# --- departments the KPI models accept
+DEPARTMENTS = ["CARDIOLOGY", "NEUROLOGY", "ORTHOPEDICS", "EMERGENCY", "ICU", "ONCOLOGY"]
+
 # --- labels --------------------------------------------------------------
 VALID = "VALID"
 SELF_PAY = "SELF_PAY"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow import constants as K
-from wardflow.functions import labels, numeric, rules
+from wardflow.functions import labels, numeric, parsing, rules
 from wardflow.operators.dedup import latest_per_key
 
 STAGING_COLUMNS = [
@@ -21,8 +21,8 @@ STAGING_COLUMNS = [
 def typed(bronze: DataFrame) -> DataFrame:
     """Parse and cast; whatever does not parse becomes NULL and is flagged later."""
     return bronze.withColumns({
-        "admission_date": F.try_to_date("admission_date", K.DATE_FORMAT),
-        "discharge_date": F.try_to_date("discharge_date", K.DATE_FORMAT),
+        "admission_date": parsing.iso_date("admission_date"),
+        "discharge_date": parsing.iso_date("discharge_date"),
         "age": F.col("age").try_cast("int"),
         "num_procedures": F.col("num_procedures").try_cast("int"),
         "readmission": F.col("readmission").try_cast("boolean"),

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow import constants as K
-from wardflow.functions import labels, numeric, rules
+from wardflow.functions import labels, numeric, parsing, rules
 from wardflow.operators.dedup import LAB_KEY, latest_per_key
 
 
 def typed(bronze: DataFrame) -> DataFrame:
     return bronze.withColumns({
-        "collected_at": F.try_to_timestamp("collected_at", F.lit(K.TIMESTAMP_FORMAT)),
-        "resulted_at": F.try_to_timestamp("resulted_at", F.lit(K.TIMESTAMP_FORMAT)),
+        "collected_at": parsing.iso_timestamp("collected_at"),
+        "resulted_at": parsing.iso_timestamp("resulted_at"),
         "result_value": F.col("result_value").try_cast("double"),
         "reference_low": F.col("reference_low").try_cast("double"),
         "reference_high": F.col("reference_high").try_cast("double"),

@@ -32,7 +32,10 @@ GOLD_KPIS = "gold/dept_monthly_kpis"
 GOLD_READMISSIONS = "gold/readmission_analysis"
 GOLD_FINANCE = "gold/financial_summary"
 GOLD_CRITICAL = "gold/critical_labs_watch"
+GOLD_LOS = "gold/avg_los_by_department"
+GOLD_MART = "gold/mart_dept_monthly_kpis"
 AUDIT = "audit/steps"
+EXPECTATIONS = "audit/expectations"
 
 _BRONZE_AUDIT_DDL = "_ingested_at timestamp, _source string, _batch_id string"
 _SILVER_DDL = {SILVER_ADMISSIONS: K.SILVER_ADMISSIONS_DDL, SILVER_LABS: K.SILVER_LABS_DDL}
@@ -51,8 +54,9 @@ class BatchRun:
     steps: list[dict] = field(default_factory=list)
     started: float = field(default_factory=time.monotonic)
 
-    def log(self, step: str, layer: str, records_in: int, records_out: int, notes: str = ""):
-        row = dict(step=step, layer=layer, status="success", records_in=records_in,
+    def log(self, step: str, layer: str, records_in: int, records_out: int, notes: str = "",
+            status: str = "success"):
+        row = dict(step=step, layer=layer, status=status, records_in=records_in,
                    records_out=records_out, elapsed_sec=int(time.monotonic() - self.started),
                    notes=notes)
         self.steps.append(row)
@@ -62,12 +66,15 @@ class BatchRun:
         except Exception as problem:  # noqa: BLE001
             print(f"audit row of {step} not written: {problem}")
 
+    def size_for(self, *locations: str) -> None:
+        """Set the shuffle width for a stage that moves all of the largest of these."""
+        if self.resize:
+            size_shuffles(self.spark, max(input_bytes(self.spark, p) for p in locations))
+
     # --- bronze ----------------------------------------------------------
 
     def ingest(self, admissions_csv: str, labs_csv: str) -> None:
-        if self.resize:
-            size_shuffles(self.spark, input_bytes(self.spark, labs_csv)
-                          + input_bytes(self.spark, admissions_csv))
+        self.size_for(admissions_csv, labs_csv)
         for step, path, reader, table, source, folder in (
             ("ingest_admissions", admissions_csv, files.read_admissions_csv, BRONZE_ADMISSIONS,
              K.ADMISSIONS_SOURCE, "department"),
@@ -89,6 +96,7 @@ class BatchRun:
 
         Writing them as two tables would run the deduplication twice or hold it in memory.
         """
+        self.size_for(self.lake.path(BRONZE_ADMISSIONS), self.lake.path(BRONZE_LABS))
         valid = F.count_if(F.col("outcome") == "valid")
         for step, bronze, table, flag, folders in (
             ("transform_admissions", BRONZE_ADMISSIONS, SILVER_ADMISSIONS,
@@ -126,6 +134,7 @@ class BatchRun:
     # --- gold ------------------------------------------------------------
 
     def build_gold(self) -> None:
+        self.size_for(self.lake.path(SILVER_ADMISSIONS), self.lake.path(SILVER_LABS))
         facts, results = self.silver(SILVER_ADMISSIONS), self.silver(SILVER_LABS)
         n_facts, n_results = facts.count(), results.count()
         sql = models.build_models(self.spark, facts)
@@ -136,10 +145,8 @@ class BatchRun:
             ("build_financial_summary", GOLD_FINANCE, gold.financial_summary(facts), n_facts),
             ("build_critical_labs_watch", GOLD_CRITICAL,
              gold.critical_labs_watch(results, facts, self.as_of), n_results),
-            ("avg_los_by_department", "gold/avg_los_by_department",
-             sql["avg_los_by_department"], n_facts),
-            ("mart_dept_monthly_kpis", "gold/mart_dept_monthly_kpis",
-             sql["mart_dept_monthly_kpis"], n_facts),
+            ("avg_los_by_department", GOLD_LOS, sql["avg_los_by_department"], n_facts),
+            ("mart_dept_monthly_kpis", GOLD_MART, sql["mart_dept_monthly_kpis"], n_facts),
         ):
             seen = self.lake.write_version(gold.with_built_at(rows), table, self.batch_id)
             self.log(step, "gold", records_in, seen["rows"])
@@ -147,23 +154,42 @@ class BatchRun:
     # --- checks ----------------------------------------------------------
 
     def check(self) -> None:
-        """Raise when a gate, the freshness check or an expectation on Silver fails."""
+        """Write every expectation's result, then raise if a condition of the run fails.
+
+        The run depends on the gates, on freshness and on the admission expectations; results
+        for labs and models are there to read.
+        """
         facts, kpis = self.silver(SILVER_ADMISSIONS), self.lake.read(GOLD_KPIS)
+        monthly = self.lake.read(GOLD_LOS)
+        tested = (
+            quality.evaluate(facts, SILVER_ADMISSIONS, quality.admission_expectations())
+            .unionByName(quality.evaluate(self.silver(SILVER_LABS), SILVER_LABS,
+                                          quality.lab_expectations()))
+            .unionByName(quality.evaluate(monthly, GOLD_LOS,
+                                          quality.kpi_expectations(K.DEPARTMENTS))))
+        self.lake.write_version(tested, EXPECTATIONS, self.batch_id)
         quality.require(quality.quality_gates(facts, kpis), "passed")
-        monthly = self.lake.read("gold/avg_los_by_department")
         quality.require(quality.freshness_check(monthly), "is_fresh")
-        tested = quality.evaluate(facts, "silver.admissions", quality.admission_expectations())
-        quality.require(tested.withColumn("passed", F.col("failures") == 0), "passed")
+        on_admissions = self.lake.read(EXPECTATIONS).filter(
+            F.col("table_name") == SILVER_ADMISSIONS)
+        quality.require(on_admissions.withColumn("passed", F.col("failures") == 0), "passed")
+
+
+STAGES = ["ingest", "build_silver", "build_patient_dim", "build_gold", "check"]
 
 
 def run_batch(spark: SparkSession, lake: Lake, batch_id: str, admissions_csv: str, labs_csv: str,
-              as_of: Column | None = None, min_group: int = K.MIN_GROUP,
-              resize: bool = True) -> BatchRun:
-    """Run all stages for one delivery. Repeating a batch id replaces that batch."""
+              as_of: Column | None = None, min_group: int = K.MIN_GROUP, resize: bool = True,
+              stages: list[str] | None = None) -> BatchRun:
+    """Run the stages for one delivery. Repeating a batch id, or a stage, replaces its output."""
     run = BatchRun(spark, lake, batch_id, as_of, min_group, resize)
-    run.ingest(admissions_csv, labs_csv)
-    run.build_silver()
-    run.build_patient_dim()
-    run.build_gold()
-    run.check()
+    for stage in stages or STAGES:
+        try:
+            if stage == "ingest":
+                run.ingest(admissions_csv, labs_csv)
+            else:
+                getattr(run, stage)()
+        except Exception as problem:
+            run.log(stage, "run", 0, 0, str(problem)[:500], status="failure")
+            raise
     return run
