@@ -45,6 +45,20 @@ def test_levels_are_strict(spark, rate, status, tier):
     assert rows(df.select(labels.readmission_status(), labels.risk_tier())) == [(status, tier)]
 
 
+# Published group sizes, readmissions, rates and tiers.
+PUBLISHED_GROUPS = [(52, 7, 13.46, "LOW_RISK"), (73, 12, 16.44, "MEDIUM_RISK"),
+                    (75, 11, 14.67, "LOW_RISK")]
+
+
+def test_rates_and_tiers_match_published_groups(spark):
+    from pyspark.sql import functions as F
+    from wardflow.functions import numeric
+    df = spark.createDataFrame([g[:2] for g in PUBLISHED_GROUPS], "n int, r int").withColumn(
+        "readmission_rate_pct", numeric.share_pct(F.col("r"), F.col("n")))
+    got = rows(df.select("n", "r", "readmission_rate_pct", labels.risk_tier()))
+    assert got == sorted(PUBLISHED_GROUPS)
+
+
 def test_monthly_kpis(spark):
     facts = silver(
         spark,

@@ -109,6 +109,13 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
     deliver("b.json", reading(message_id="m3"))
     assert run()["vitals"].count() == 3
 
+    # An alert job of its own over the landed table finds the same alerts.
+    landed_stream = jobs.landed_vitals(spark, f"{root}/vitals")
+    apart = jobs.append_stream(vitals.vitals_alerts(landed_stream), str(tmp_path / "apart"),
+                               f"{checkpoints}/apart", available_now=True)
+    apart.awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "apart"))) == rows(vitals.vitals_alerts(parsed))
+
 
 def test_message_schema_names_every_vital():
     for vital in K.VITAL_RANGES:

@@ -113,6 +113,11 @@ VITALS_MESSAGE_DDL = """
     patient_state string, is_anomaly boolean, heart_rate int, systolic_bp int,
     diastolic_bp int, spo2_pct int, temperature_c double, resp_rate int
 """
+VITALS_LANDED_DDL = """
+    message_id string, patient_id string, department string, patient_state string,
+    is_anomaly boolean, heart_rate int, systolic_bp int, diastolic_bp int, spo2_pct int,
+    temperature_c double, resp_rate int, event_ts timestamp, _ingested_at timestamp
+"""
 AUDIT_DDL = """
     step string, layer string, status string, records_in bigint, records_out bigint,
     elapsed_sec bigint, notes string, finished_at timestamp

@@ -28,6 +28,15 @@ def file_messages(spark: SparkSession, folder: str, max_files_per_trigger: int =
             .load(folder))
 
 
+def landed_vitals(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Landed vitals as a stream, for an alert job that runs apart from the landing job.
+
+    It reads what the landing job has committed, so alerts trail the topic by one more trigger.
+    """
+    return (spark.readStream.schema(K.VITALS_LANDED_DDL)
+            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, name: str | None = None,
                   fmt: str = "parquet", every: str = K.STREAM_TRIGGER,
                   available_now: bool = False) -> StreamingQuery:
