@@ -544,6 +544,10 @@ _FINALS = {
            OR a.insurer_name <> b.insurer_name)""",
     "scd2_history": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
         {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history""",
+    "scd2_late_rebuild": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
+        {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history
+      WHERE patient_id IN (SELECT patient_id FROM facts
+                           WHERE admission_date >= DATE '1998-01-01')""",
     "scd2_counts": """SELECT COUNT(*) AS total_versions,
         COUNT(*) FILTER (WHERE is_current) AS current_versions,
         COUNT(*) FILTER (WHERE NOT is_current) AS expired_versions FROM history""",

@@ -95,6 +95,14 @@ class Layers:
     def insurer_history(self) -> DataFrame:
         return patient_dim.scd2_history(self.facts, tracked=["insurer_name"])
 
+    @cached_property
+    def rebuilt_after_late_facts(self) -> DataFrame:
+        """A dimension built from the later facts, once the earlier ones have arrived late."""
+        date, split = F.col("admission_date"), F.lit(SECOND_LOAD_FROM).cast("date")
+        dim = patient_dim.scd2_history(self.facts.filter(date >= split), ["insurer_name"])
+        late = patient_dim.late_patients(dim, self.facts.filter(date < split))
+        return patient_dim.rebuild_patients(dim, self.facts, late, ["insurer_name"])
+
     @cached_property
     def messages(self) -> DataFrame:
         return B.vital_messages(self.spark, self.sf_dir)
@@ -216,6 +224,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "scd2_initial": lambda d: patient_dim.scd2_initial(patient_dim.patient_snapshot(d.facts)),
     "scd2_merge": lambda d: d.merged_dim,
     "scd2_history": lambda d: d.insurer_history.select(*_HISTORY),
+    "scd2_late_rebuild": lambda d: d.rebuilt_after_late_facts.select(*_HISTORY),
     "scd2_counts": lambda d: patient_dim.scd2_counts(d.insurer_history),
     "asof_insurer_join": _asof,
     # vital signs

@@ -58,6 +58,14 @@ VITAL_RANGES = {
     "resp_rate": (12, 20, 6, 35),
 }
 
+# --- display text
+LIST_SEPARATOR = ", "
+NO_VALUE = "–"
+RISK_HOVER = (
+    "<b>%s</b><br>Age group: %s<br>Department: %s<br>Readm. rate: %s%%<br>"
+    "Avg cost: $%s<br>Total admissions: %s"
+)
+
 # --- sources, topics, cadence
 ADMISSIONS_SOURCE = "admissions_csv_batch"
 LABS_SOURCE = "lab_results_csv_batch"

@@ -82,4 +82,4 @@ def magnitude_label(value: Column, prefix: str = "", scale: int = 1) -> Column:
     text = (F.when(F.abs(number) >= 1e6, F.concat(plain_number(number / 1e6, scale), F.lit("M")))
             .when(F.abs(number) >= 1e3, F.concat(plain_number(number / 1e3, scale), F.lit("K")))
             .otherwise(plain_number(number, scale)))
-    return F.coalesce(F.concat(F.lit(prefix), text), F.lit("–"))
+    return F.coalesce(F.concat(F.lit(prefix), text), F.lit(K.NO_VALUE))

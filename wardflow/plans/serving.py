@@ -103,7 +103,7 @@ def doctor_alerts(critical: DataFrame, top: int = K.TOP_ALERT_DOCTORS) -> DataFr
         F.count_if(F.col("result_interpretation") == "LOW").alias("low_count")))
     return (per_dept.groupBy("attending_doctor").agg(
         F.sum("critical_labs").alias("critical_labs"),
-        F.array_join(F.sort_array(F.collect_list("department")), ", ").alias("departments"),
+        F.array_join(F.sort_array(F.collect_list("department")), K.LIST_SEPARATOR).alias("departments"),
         F.sum("high_count").alias("high_count"),
         F.sum("low_count").alias("low_count"))
         .orderBy(F.desc("critical_labs"), "attending_doctor").limit(top))
@@ -205,9 +205,7 @@ def clinical_headline(critical: DataFrame, readmissions: DataFrame) -> DataFrame
 
 def risk_bubble(readmissions: DataFrame) -> DataFrame:
     hover = F.format_string(
-        "<b>%s</b><br>Age group: %s<br>Department: %s<br>Readm. rate: %s%%<br>"
-        "Avg cost: $%s<br>Total admissions: %s",
-        "diagnosis", "age_group", "department",
+        K.RISK_HOVER, "diagnosis", "age_group", "department",
         labels.plain_number(F.col("readmission_rate_pct"), 1),
         F.format_number(F.round(F.col("avg_cost").cast(numeric.RATIO), 0), 0),
         F.col("total_admissions").cast("string"))
