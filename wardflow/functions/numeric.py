@@ -50,6 +50,19 @@ def mean_of_doubles(column: str, scale: int) -> Column:
     return rounded(ratio(exact_sum(column), F.count(column)), scale)
 
 
+def stddev_of_integers(column: str, scale: int) -> Column:
+    """Sample standard deviation from whole-number sums, the same for every merge order.
+
+    NULL for a single row. Meant for small magnitudes such as days, where the subtraction below
+    loses no visible digit.
+    """
+    n = F.count(column).cast("double")
+    total = F.sum(F.col(column).cast("bigint")).cast("double")
+    squares = F.sum(F.col(column).cast("bigint") * F.col(column)).cast("double")
+    spread = F.greatest(squares - total * F.try_divide(total, n), F.lit(0.0))
+    return rounded(F.sqrt(F.try_divide(spread, n - 1)), scale)
+
+
 def share_pct(part: Column, whole: Column, scale: int = 2) -> Column:
     return rounded(F.lit(100.0) * ratio(part, whole), scale)
 

@@ -26,7 +26,7 @@ def dept_monthly_kpis(admissions: DataFrame) -> DataFrame:
     measures = [
         n.alias("total_admissions"),
         numeric.mean("length_of_stay_days", 2).alias("avg_los_days"),
-        numeric.rounded(F.stddev_samp("length_of_stay_days"), 2).alias("stddev_los_days"),
+        numeric.stddev_of_integers("length_of_stay_days", 2).alias("stddev_los_days"),
         F.min("length_of_stay_days").alias("min_los_days"),
         F.max("length_of_stay_days").alias("max_los_days"),
         readmitted.alias("readmissions"),

@@ -9,7 +9,12 @@ measures AS (
   SELECT department, admission_month,
          ROUND(CAST(try_divide(CAST(SUM(length_of_stay_days) AS DOUBLE), COUNT(length_of_stay_days))
                AS DECIMAL(18,6)), 2) AS avg_los_days,
-         ROUND(CAST(stddev_samp(length_of_stay_days) AS DECIMAL(18,6)), 2) AS stddev_los_days,
+         ROUND(CAST(SQRT(try_divide(
+             GREATEST(CAST(SUM(CAST(length_of_stay_days AS BIGINT) * length_of_stay_days) AS DOUBLE)
+                      - CAST(SUM(length_of_stay_days) AS DOUBLE) * SUM(length_of_stay_days)
+                        / COUNT(length_of_stay_days), 0.0D),
+             CAST(COUNT(length_of_stay_days) - 1 AS DOUBLE))) AS DECIMAL(18,6)), 2)
+           AS stddev_los_days,
          MIN(length_of_stay_days) AS min_los_days,
          MAX(length_of_stay_days) AS max_los_days,
          count_if(readmission) AS readmission_count,
