@@ -19,9 +19,10 @@ def rolling_mean(column: str, partition: str, order: str, scale: int = 2) -> Col
 def dept_monthly_kpis(admissions: DataFrame) -> DataFrame:
     """Monthly figures per department with three-row rolling means.
 
-    The windows run on the aggregate, at most departments x months rows.
+    Rows are grouped on the month as a date; its text form, year and quarter are worked out per
+    group, not per row. The windows run on the aggregate, at most departments x months rows.
     """
-    keys = ["department", "year_month", "admission_year", "admission_quarter"]
+    keys = ["department", "month"]
     n, readmitted = F.count(F.lit(1)), numeric.count_true("readmission")
     measures = [
         n.alias("total_admissions"),
@@ -36,9 +37,15 @@ def dept_monthly_kpis(admissions: DataFrame) -> DataFrame:
         numeric.mean("age", 1).alias("avg_patient_age"),
         numeric.count_true("icu_stay").alias("icu_admissions"),
     ]
-    months = admissions.withColumn("year_month", F.date_format("admission_date", "yyyy-MM"))
+    months = admissions.withColumn("month", F.trunc("admission_date", "MM"))
     kpis = aggregate_with_distincts(months, keys, measures, {"unique_patients": "patient_id"})
-    return kpis.withColumns({
+    calendar = [
+        F.date_format("month", "yyyy-MM").alias("year_month"),
+        F.year("month").alias("admission_year"),
+        labels.quarter_label("month").alias("admission_quarter"),
+    ]
+    figures = [c for c in kpis.columns if c not in keys]
+    return kpis.select("department", *calendar, *figures).withColumns({
         "rolling_3mo_avg_los": rolling_mean("avg_los_days", "department", "year_month"),
         "rolling_3mo_readmission_pct": rolling_mean(
             "readmission_rate_pct", "department", "year_month"),

@@ -4,21 +4,21 @@
 -- median from day counts instead of one buffer of raw values per month.
 WITH stays AS (
   SELECT department, CAST(trunc(admission_date, 'MM') AS DATE) AS month_start,
-         admission_year, admission_quarter, patient_id, attending_doctor, length_of_stay_days,
-         readmission, icu_stay, num_procedures, age, total_cost_usd
+         patient_id, attending_doctor, length_of_stay_days, readmission, icu_stay,
+         num_procedures, age, total_cost_usd
   FROM {stg_admissions}
 ),
 by_days AS (
-  SELECT department, month_start, admission_year, admission_quarter, length_of_stay_days AS days,
+  SELECT department, month_start, length_of_stay_days AS days,
          COUNT(*) AS n, count_if(readmission) AS readmitted, count_if(icu_stay) AS icu,
          SUM(num_procedures) AS procedures, COUNT(num_procedures) AS n_procedures,
          SUM(total_cost_usd) AS cost, COUNT(total_cost_usd) AS n_cost,
          MIN(total_cost_usd) AS min_cost, MAX(total_cost_usd) AS max_cost,
          SUM(age) AS ages, COUNT(age) AS n_age
-  FROM stays GROUP BY department, month_start, admission_year, admission_quarter, days
+  FROM stays GROUP BY department, month_start, days
 ),
 months AS (
-  SELECT department, month_start, admission_year, admission_quarter,
+  SELECT department, month_start,
          SUM(n) AS total_admissions,
          ROUND(CAST(CAST(SUM(n * days) AS DOUBLE) / SUM(n) AS DECIMAL(18,6)), 2) AS avg_los_days,
          ROUND(CAST(SQRT(try_divide(
@@ -39,7 +39,7 @@ months AS (
          ROUND(MIN(min_cost), 2) AS min_cost_usd, ROUND(MAX(max_cost), 2) AS max_cost_usd,
          ROUND(CAST(try_divide(CAST(SUM(ages) AS DOUBLE), SUM(n_age)) AS DECIMAL(18,6)), 1)
            AS avg_patient_age
-  FROM by_days GROUP BY department, month_start, admission_year, admission_quarter
+  FROM by_days GROUP BY department, month_start
 ),
 people AS (
   SELECT department, month_start, COUNT(DISTINCT patient_id) AS unique_patients
@@ -66,7 +66,9 @@ trends AS (
                         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
 )
 SELECT department, month_start, date_format(month_start, 'yyyy-MM') AS year_month,
-       admission_year, admission_quarter, total_admissions, unique_patients, active_doctors,
+       year(month_start) AS admission_year,
+       concat('Q', quarter(month_start)) AS admission_quarter,
+       total_admissions, unique_patients, active_doctors,
        CAST(avg_los_days AS DOUBLE) AS avg_los_days, CAST(stddev_los AS DOUBLE) AS stddev_los,
        min_los_days, max_los_days, median_los_days, readmission_count,
        CAST(readmission_rate_pct AS DOUBLE) AS readmission_rate_pct, icu_admissions,
