@@ -12,11 +12,7 @@ from wardflow.llm.common import table, written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", stages.quality_rules),
     ("near_dedup", stages.near_dedup),
-    ("decontamination", stages.decontamination),
-    ("secret_scan", stages.secret_scan),
-    ("bpe_encode", stages.bpe_encode),
 ]
 
 #: No stage can be said in SQL; the tests hold the pipeline against brute-force stages.
