@@ -4,10 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from wardflow.llm.bpe_codec import BpeParams, encode_documents
 from wardflow.llm.common import table
+from wardflow.llm.decontamination import find_leaks
 from wardflow.llm.minhash_dedup import NearDupParams, near_duplicates
+from wardflow.llm.perplexity_rules import judge_quality
+from wardflow.llm.secret_scan import find_secrets
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, encoded and decoded."""
+    return encode_documents(table(spark, sf_dir, "documents"),
+                            BpeParams(public_tokenizers.path(VOCABULARY)))
+
+
+def op2_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, perplexity with its band, and the verdict of every document."""
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, as spans."""
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +45,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_codec": op1_bpe_codec,
+    "op2_perplexity_rules": op2_perplexity_rules,
+    "op4_secret_scan": op4_secret_scan,
+    "op8_decontamination": op8_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 LLM_ORACLES: dict[str, str] = {}

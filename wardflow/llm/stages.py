@@ -1,15 +1,50 @@
-"""The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``."""
+"""The stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
+
+All but the last return the columns of the documents they are given. A decision is joined back by
+``doc_id``; rows that share a doc_id share its decision, and a document without an id, which no
+decision can name, stays as it is.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from wardflow.llm.bpe_codec import BpeParams, encode_documents
+from wardflow.llm.common import table, written
+from wardflow.llm.decontamination import find_leaks
 from wardflow.llm.minhash_dedup import NearDupParams, near_duplicates
+from wardflow.llm.perplexity_rules import judge_quality
+from wardflow.llm.secret_scan import mask_secrets
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = written(gone.select("doc_id").where("doc_id IS NOT NULL").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or leave their language's perplexity band go."""
+    return _without(docs, judge_quality(docs).where("NOT kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies stays: the one with the smallest doc_id."""
-    judged = near_duplicates(docs, NearDupParams())
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, near_duplicates(docs, NearDupParams()).where("NOT kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return _without(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by its kind in brackets; n_chars follows the new text."""
+    return mask_secrets(docs)
+
+
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, their number, and the digests of ids and decoded text."""
+    return encode_documents(docs, BpeParams(public_tokenizers.path(VOCABULARY), with_ids=True))
