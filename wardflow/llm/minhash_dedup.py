@@ -15,7 +15,9 @@ classes to one of them (a star), verified on whole sets. Then only buckets that
 classes of different components matter; the star is repeated there around other centers, and at
 last all pairs that could still join two components are verified, with no cap on partners. The
 pairs of the last step run from the classes outside a bucket's largest component to all others,
-so a large group of near copies is never paired with itself.
+so a large group of near copies is never paired with itself. A proven bound thins them out: only
+shingles that two or more of the remaining classes have can be common to a pair, so with u and v
+of those in sets of sizes a and b the similarity is at most m / (a + b - m) for m = min(u, v).
 """
 
 from __future__ import annotations
@@ -186,7 +188,7 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
         if turn < params.star_rounds:
             pairs = _star_pairs(mixed, turn)
         else:
-            pairs = _remaining_pairs(mixed)
+            pairs = _remaining_pairs(mixed, sets, params.percent)
         pairs = pairs.where(_fits(params.percent)).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -234,20 +236,38 @@ def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return written(labelled.join(keys, "key"), "mixed")
 
 
-def _remaining_pairs(entries: DataFrame) -> DataFrame:
-    """All pairs of a bucket that lie in different components.
+def _common_shingles(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(rep, u)``: how many shingles of each class some other class of the entries has, too."""
+    reps = entries.select(F.col("rep").alias("doc_id")).distinct()
+    members = sets.join(written(reps, "remaining"), "doc_id", "left_semi")
+    alone = (members.select(F.explode("shingles").alias("s"), "doc_id").groupBy("s")
+             .agg(F.count("s").alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1")
+             .groupBy("doc_id").agg(F.count("s").alias("alone")))
+    size = members.groupBy("doc_id").agg(F.max(F.size("shingles")).alias("size"))
+    return size.join(alone, "doc_id", "left").select(
+        F.col("doc_id").alias("rep"), (F.col("size") - F.coalesce("alone", F.lit(0))).alias("u"))
+
+
+def _remaining_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that lie in different components and are not ruled out.
 
     One side holds the classes outside the bucket's largest component, the other all classes.
     """
-    sizes = entries.groupBy("key", "component").agg(F.count("rep").alias("size"))
+    common = written(_common_shingles(entries, sets), "common")
+    # A class that shares too few of its own shingles with all others together has no partner.
+    able = written(entries.join(common, "rep").where(F.col("u") * 100 >= F.col("n") * percent),
+                   "able")
+    sizes = able.groupBy("key", "component").agg(F.count("rep").alias("size"))
     major = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"))
     major = written(major.select("key", F.col("top.component").alias("major")), "major")
-    minor = written(entries.join(major, "key").where("component <> major").drop("major"), "minor")
+    minor = written(able.join(major, "key").where("component <> major").drop("major"), "minor")
     left = minor.select("key", F.col("rep").alias("r1"), F.col("n").alias("n1"),
-                        F.col("component").alias("k1"))
-    right = entries.select("key", F.col("rep").alias("r2"), F.col("n").alias("n2"),
-                           F.col("component").alias("k2"))
-    met = left.join(right, (left["key"] == right["key"]) & (F.col("k1") != F.col("k2")))
+                        F.col("component").alias("k1"), F.col("u").alias("u1"))
+    right = able.select("key", F.col("rep").alias("r2"), F.col("n").alias("n2"),
+                        F.col("component").alias("k2"), F.col("u").alias("u2"))
+    most = F.least("u1", "u2")
+    possible = most * 100 >= (F.col("n1") + F.col("n2") - most) * percent
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("k1") != F.col("k2")) & possible)
     return met.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b"),
                       F.col("n1").alias("na"), F.col("n2").alias("nb"))
 
