@@ -227,8 +227,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame,
     probes = (windows.select("length", "fp").distinct()
               .select("length", "fp", F.posexplode(_blocks()).alias("block", "value")))
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
+    # The index is some thousand entries per item: never a side to broadcast, whatever the
+    # planner makes of the few items it comes from.
     close = written(
-        probes.join(index, ["length", "block", "value"])
+        probes.join(index.hint("merge"), ["length", "block", "value"])
         .select("length", "fp", "item_id", "item_fp", hamming.alias("hamming"))
         .where(F.col("hamming") <= params.radius).distinct(), "close")
     candidates = windows.join(close, ["length", "fp"]).join(
