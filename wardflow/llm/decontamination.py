@@ -4,9 +4,10 @@ Every benchmark item of L words is compared with every window of L words of ever
 document with fewer words is one window). Items and windows are multisets of 5-word shingles,
 weighted by how often a shingle occurs; similarity is weighted Jaccard, and 0.8 makes a match.
 
-A window can only match when 80 % of its shingles occur in some item, because the common weight is
-at most that of those shingles. A Bloom filter of fixed size over all items' shingles (a superset,
-so nothing is lost) leaves exactly such windows; the others have similarity below 0.8.
+A window of L words can only match when shingles of items of L words make up 80 % of such an item,
+because the common weight is at most that of those shingles. A Bloom filter of fixed size over all
+items' shingles, alone and together with the length (a superset, so nothing is lost), leaves such
+windows; the others have a similarity below 0.8.
 
 The remaining windows get 64-bit SimHash fingerprints. Fingerprints are cut into 4 blocks of 16
 bits; two that differ in at most 15 bits differ in at most 3 bits of some block, so the index
@@ -79,6 +80,11 @@ def _filter_places(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             (h & np.uint64(FILTER_BITS - 1)).astype(np.int64))
 
 
+def _with_length(shingles: np.ndarray, length) -> np.ndarray:
+    lengths = np.broadcast_to(np.asarray(length, np.uint64), shingles.shape)
+    return textscan.mix(shingles + lengths * np.uint64(0x9E3779B97F4A7C15), 63)
+
+
 def _in_filter(bits: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     out = np.ones(len(shingles), bool)
     for place in _filter_places(shingles):
@@ -118,7 +124,7 @@ def _neighbours(radius: int) -> list[int]:
 
 def _window_batches(bits_of, lengths: list[int], params: LeakParams):
     """Windows with enough filter hits: document, first word, length, fingerprint, shingles."""
-    def windows_of(own: np.ndarray, hits: dict[int, np.ndarray], parts: dict[int, np.ndarray]):
+    def windows_of(bits: np.ndarray, own: np.ndarray, hits: dict[int, np.ndarray], parts: dict[int, np.ndarray]):
         sums = {}
         for length in lengths:
             size = min(params.shingle, length)
@@ -129,7 +135,13 @@ def _window_batches(bits_of, lengths: list[int], params: LeakParams):
                 continue
             need_of = max(1, length - size + 1)
             wide = min(need_of, len(shingles))
-            total = np.concatenate([[0], np.cumsum(found)])
+            at = np.flatnonzero(found)
+            at = at[_in_filter(bits, _with_length(shingles[at], length))]
+            if len(at) * 100 < need_of * params.percent:
+                continue
+            ours = np.zeros(len(shingles), np.int64)
+            ours[at] = 1
+            total = np.concatenate([[0], np.cumsum(ours)])
             inside = total[wide:] - total[:-wide]
             # The common weight is at most the hits; the union is at least the item's weight.
             start = np.flatnonzero(inside * 100 >= need_of * params.percent)
@@ -167,7 +179,7 @@ def _window_batches(bits_of, lengths: list[int], params: LeakParams):
                     if len(own) < params.shingle and len(own) not in mine:
                         mine[len(own)] = textscan.shingle_hashes(own, len(own))
                         found[len(own)] = _in_filter(bits, mine[len(own)])
-                    for start, length, fp, shingles in windows_of(own, found, mine):
+                    for start, length, fp, shingles in windows_of(bits, own, found, mine):
                         rows["doc_id"].append(ids[a + d])
                         rows["start"].append(start)
                         rows["length"].append(length)
@@ -252,7 +264,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame,
 def _filter_batches(batches):
     for batch in batches:
         values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        place = np.unique(np.concatenate(_filter_places(values)))
+        lengths = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
+        place = np.unique(np.concatenate(
+            _filter_places(values) + _filter_places(_with_length(values, lengths))))
         yield pa.RecordBatch.from_arrays(
             [pa.array(place >> 6),
              pa.array((np.uint64(1) << (place & 63).astype(np.uint64)).view(np.int64))],
@@ -261,7 +275,7 @@ def _filter_batches(batches):
 
 def _filter_bytes(items: DataFrame) -> bytes:
     """The filter over all items' shingles, at most FILTER_BITS / 64 words to the driver."""
-    shingles = items.select(F.explode("shingles").alias("s"))
+    shingles = items.select(F.explode("shingles").alias("s"), "length")
     words = shingles.mapInArrow(_filter_batches, "word long, bits long") \
         .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
