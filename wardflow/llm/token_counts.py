@@ -3,10 +3,9 @@
 Texts of up to ``chunk`` characters are encoded whole by the tokenizers library. A longer text is
 encoded in chunks that overlap; the token offsets of two neighbours in their overlap are compared,
 and the text is spliced at a boundary that is a token boundary in both and provably stable: the
-character before it is a letter or number and the one after it is white space, or the other way
-round a letter or number follows a line end. The split rule of the encoder never joins the two
-sides of such a place, whatever surrounds them, so the tokens left of it depend on the left
-chunk alone and those right of it on the right chunk alone. Overlaps without such a place are
+character before it is a letter or number and the one after it is a space or a line end. The split
+rule of the encoder never joins the two sides of such a place, whatever surrounds them, so the
+tokens left of it depend on the left chunk alone and those right of it on the right chunk alone. Overlaps without such a place are
 doubled until there is one or the text ends. Special strings hold no white space, so no stable
 boundary lies inside one.
 """
@@ -24,7 +23,7 @@ from tokenizers import Tokenizer
 
 from wardflow.llm.common import only, ship_code
 
-#: Characters of white space that end a piece in every setting of the split rule.
+#: White space that ends a piece after a letter or number, whatever follows.
 STABLE_SPACE = " \n"
 
 
