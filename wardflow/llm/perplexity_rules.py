@@ -340,8 +340,9 @@ def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> D
     scored = written(docs.mapInArrow(
         _score_batches(path), "doc_id long, slot string, n_words long, word_chars long, "
         "n_symbols long, n_dup_lines long, n_repeat_words long, lp long, n_bytes long"), "scored")
-    mean = -F.col("lp") / F.lit(float(FIXED)) / F.col("n_bytes")
-    shrink = F.sqrt(F.col("n_bytes") / (F.col("n_bytes") + F.lit(float(params.short))))
+    size = F.nullif(F.col("n_bytes"), F.lit(0))  # no text, no mean and no band
+    mean = -F.col("lp") / F.lit(float(FIXED)) / size
+    shrink = F.sqrt(size / (size + F.lit(float(params.short))))
     some = scored.where("n_bytes > 0").select("slot", "n_bytes", mean.alias("mean"))
     center = _middle(some, F.col("mean"), "center")
     spread = _middle(some.join(center, "slot"),
@@ -353,7 +354,7 @@ def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> D
     base_failed = (F.col("n_words") < params.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * params.max_repeat_percent)
     inside = F.col("mean").between(lower, upper)
-    rows = scored.withColumn("mean", F.when(F.col("n_bytes") > 0, mean)).join(bands, "slot", "left")
+    rows = scored.withColumn("mean", mean).join(bands, "slot", "left")
     return rows.select(
         "doc_id", *FEATURES, base_failed.alias("base_failed"),
         (~base_failed & F.coalesce(inside, F.lit(False))).alias("kept"),
