@@ -12,12 +12,12 @@ Banding: ``bands`` of t / bands coordinates. A pair at similarity s shares a ban
 
 Candidates: documents with equal shingle sets are one class. Every band bucket first links its
 classes to one of them (a star), verified on whole sets. Then only buckets that still hold
-classes of different components matter; the star is repeated there around other centers, and at
-last all pairs that could still join two components are verified, with no cap on partners. The
-pairs of the last step run from the classes outside a bucket's largest component to all others,
-so a large group of near copies is never paired with itself. A proven bound thins them out: only
-shingles that two or more of the remaining classes have can be common to a pair, so with u and v
-of those in sets of sizes a and b the similarity is at most m / (a + b - m) for m = min(u, v).
+classes of different components matter; the star is repeated there around other centers. What is
+left is checked without a cap on partners: pairs between small components one by one, and classes
+outside a large component against that component in blocks, so that a large group of near copies
+is never expanded into pairs. A proven bound thins this out: only shingles that two or more of the
+remaining classes have can be common to a pair, so with u and v of those in sets of sizes a and b
+the similarity is at most m / (a + b - m) for m = min(u, v).
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,10 @@ from wardflow.llm.common import only, ship_code, slices, text_buffers, written
 from wardflow.llm.components import components
 
 ROUND_SHIFT = np.uint64(56)
+#: From this size on a component is compared in blocks, below it pair by pair; both are exact.
+LARGE = 32
+#: Sides of a block.
+MEMBERS, QUERIES = 1024, 4096
 
 
 @dataclass(frozen=True)
@@ -171,8 +176,9 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
     # Classes of equal sets. The empty set links nothing; a null id has no place in a class.
     full = sketched.where("n > 0 AND doc_id IS NOT NULL")
     classes = written(full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = full.join(classes.select("h1", "h2", "n", F.col("rep").alias("doc_id")),
-                     ["doc_id", "h1", "h2", "n"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
+    reps = written(full.join(classes.select("h1", "h2", "n", F.col("rep").alias("doc_id")),
+                             ["doc_id", "h1", "h2", "n"], "left_semi")
+                   .dropDuplicates(["doc_id", "h1", "h2"]).select("doc_id", "n", "bands"), "reps")
     entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), "n")
     shared_keys = entries.groupBy("key").agg(F.count("rep").alias("m")).where("m > 1").select("key")
     crowded = written(entries.join(written(shared_keys, "keys"), "key"), "buckets")
@@ -184,12 +190,8 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
 
     links, tested = written(_same_id_links(full, classes), "same-id"), None
     mixed = crowded.withColumn("component", F.col("rep"))
-    for turn in range(params.star_rounds + 1):
-        if turn < params.star_rounds:
-            pairs = _star_pairs(mixed, turn)
-        else:
-            pairs = _remaining_pairs(mixed, sets, params.percent)
-        pairs = pairs.where(_fits(params.percent)).select("a", "b").distinct()
+    for turn in range(params.star_rounds):
+        pairs = _star_pairs(mixed, turn).where(_fits(params.percent)).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -200,7 +202,14 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
             labels = written(components(links), "components")
             mixed = _mixed(crowded, labels)
         if mixed.isEmpty():
-            break
+            return _labelled(sketched, classes, labels)
+    able = _able(mixed, sets, params.percent)
+    pairs = _small_pairs(able, reps, params.percent).where(_fits(params.percent))
+    pairs = written(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = written(_verified(pairs, sets, params.percent).union(
+        _large_links(able, sets, params.percent)), "verified")
+    if not found.isEmpty():
+        labels = written(components(links.union(found)), "components")
     return _labelled(sketched, classes, labels)
 
 
@@ -248,30 +257,104 @@ def _common_shingles(entries: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("doc_id").alias("rep"), (F.col("size") - F.coalesce("alone", F.lit(0))).alias("u"))
 
 
-def _remaining_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components and are not ruled out.
+def _able(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The entries of classes that can have a partner at all, with component sizes.
 
-    One side holds the classes outside the bucket's largest component, the other all classes.
+    A class that shares too few of its own shingles with all others together has none.
     """
     common = written(_common_shingles(entries, sets), "common")
-    # A class that shares too few of its own shingles with all others together has no partner.
     able = written(entries.join(common, "rep").where(F.col("u") * 100 >= F.col("n") * percent),
                    "able")
-    sizes = able.groupBy("key", "component").agg(F.count("rep").alias("size"))
-    major = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"))
-    major = written(major.select("key", F.col("top.component").alias("major")), "major")
-    minor = written(able.join(major, "key").where("component <> major").drop("major"), "minor")
-    left = minor.select("key", F.col("rep").alias("r1"), F.col("n").alias("n1"),
-                        F.col("component").alias("k1"), F.col("u").alias("u1"))
-    right = able.select("key", F.col("rep").alias("r2"), F.col("n").alias("n2"),
-                        F.col("component").alias("k2"), F.col("u").alias("u2"))
+    sizes = written(able.select("rep", "component").distinct().groupBy("component")
+                    .agg(F.count("rep").alias("size")), "sizes")
+    return written(able.join(sizes, "component"), "sized")
+
+
+def _small_pairs(able: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket from different components of fewer than LARGE classes, not ruled out.
+
+    A pair is taken in the first bucket that its classes share.
+    """
+    small = written(able.where(F.col("size") < LARGE).join(
+        reps.select(F.col("doc_id").alias("rep"), "bands"), "rep"), "small")
+    sides = [small.select("key", *[F.col(c).alias(f"{c}{i}") for c in
+                                   ("rep", "n", "component", "u", "bands")]) for i in (1, 2)]
     most = F.least("u1", "u2")
-    possible = most * 100 >= (F.col("n1") + F.col("n2") - most) * percent
-    met = left.join(right, (left["key"] == right["key"]) & (F.col("k1") != F.col("k2")) & possible)
-    return met.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b"),
+    met = sides[0].join(
+        sides[1].withColumnRenamed("key", "key2"),
+        (F.col("key") == F.col("key2")) & (F.col("rep1") < F.col("rep2"))
+        & (F.col("component1") != F.col("component2"))
+        & (most * 100 >= (F.col("n1") + F.col("n2") - most) * percent)
+        & (F.element_at(F.array_intersect("bands1", "bands2"), 1) == F.col("key")))
+    return met.select(F.col("rep1").alias("a"), F.col("rep2").alias("b"),
                       F.col("n1").alias("na"), F.col("n2").alias("nb"))
 
 
+def _block_links(percent: int):
+    def run(members, queries):
+        """The first member of the block that each query is similar to."""
+        sizes = members["shingles"].map(len).to_numpy()
+        items = np.concatenate(list(members["shingles"]))
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(items, kind="stable")
+        items, owners = items[order], owners[order]
+        a, b = [], []
+        for rep, shingles in zip(queries["rep"], queries["shingles"]):
+            low = np.searchsorted(items, shingles, side="left")
+            n = np.searchsorted(items, shingles, side="right") - low
+            place = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owners[place], minlength=len(sizes))
+            near = np.flatnonzero(both * 100 >= (sizes + len(shingles) - both) * percent)
+            if len(near):
+                other = int(members["rep"].iloc[near[0]])
+                a.append(min(int(rep), other))
+                b.append(max(int(rep), other))
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    def blocks(key, members, queries):
+        if not len(members) or not len(queries):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return run(members, queries)
+    return blocks
+
+
+def _large_links(able: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes and the components of LARGE or more classes they share a bucket with.
+
+    A class outside is compared with the whole component, in a grid of blocks: MEMBERS classes of
+    the component by QUERIES classes outside, so that no task holds more, and no pair becomes a
+    row. One link in a block is enough to connect the two.
+    """
+    targets = able.where(F.col("size") >= LARGE).select(
+        "key", F.col("component").alias("target"), F.col("size").alias("target_size")).distinct()
+    outside = able.join(written(targets, "targets"), "key").where(
+        (F.col("size") < F.col("target_size"))
+        | ((F.col("size") == F.col("target_size")) & (F.col("component") < F.col("target"))))
+    queries = written(outside.where("component <> target").select("target", "rep").distinct(),
+                      "queries")
+    grid = written(queries.groupBy("target").agg(F.count("rep").alias("q")).join(
+        able.select(F.col("component").alias("target"), "size").distinct(), "target").select(
+        "target", F.ceil(F.col("q") / QUERIES).cast("int").alias("columns"),
+        F.ceil(F.col("size") / MEMBERS).cast("int").alias("rows")), "grid")
+
+    def cell(n: str):
+        return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    shingles = sets.withColumnRenamed("doc_id", "rep")
+    members = written(able.select(F.col("component").alias("target"), "rep").distinct().join(
+        grid, "target").select("target", "rep", cell("rows").alias("row"),
+                               every("columns").alias("column")).join(shingles, "rep"), "members")
+    asked = written(queries.join(grid, "target").select(
+        "target", "rep", cell("columns").alias("column"), every("rows").alias("row")).join(
+        shingles, "rep"), "asked")
+    place = ["target", "row", "column"]
+    return members.groupBy(*place).cogroup(asked.groupBy(*place)).applyInPandas(
+        _block_links(percent), "a long, b long")
+
+
 def _labelled(sketched: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     final = written(
         classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
