@@ -7,7 +7,7 @@ import pytest
 
 from helpers import admissions
 from wardflow import constants as K
-from wardflow.operators.admissions import STAGING_COLUMNS, flagged_admissions, staging
+from wardflow.operators.admissions import flagged_admissions
 
 
 def one(spark, **change):
@@ -21,7 +21,7 @@ def by_id(spark):
             ("30", "30-44", K.VALID), ("44", "30-44", K.VALID), ("45", "45-59", K.VALID),
             ("59", "45-59", K.VALID), ("60", "60-74", K.VALID), ("74", "60-74", K.VALID),
             ("75", "75+", K.VALID), ("120", "75+", K.VALID), ("121", "75+", K.AGE_UNREALISTIC),
-            (None, "75+", K.VALID), ("abc", "75+", K.VALID)]
+            (None, "75+", K.VALID), ("abc", "75+", K.AGE_UNPARSEABLE)]
     costs = [("4999.99", "LOW", K.VALID), ("5000", "MEDIUM", K.VALID), ("19999.99", "MEDIUM", K.VALID),
              ("20000", "HIGH", K.VALID), ("50000", "VERY_HIGH", K.VALID),
              ("0", "LOW", K.COST_NON_POSITIVE), ("-5", "LOW", K.COST_NON_POSITIVE),
@@ -88,6 +88,25 @@ def test_every_row_is_either_accepted_or_quarantined(spark):
     assert accepted(rows).count() + quarantined(rows).count() == rows.count() == 4
 
 
-def test_staging_contract(spark):
-    rows = staging(flagged_admissions(admissions(spark, {}, {"age": "-1"})))
-    assert rows.columns == STAGING_COLUMNS and rows.count() == 1
+def test_whole_numbers_and_text_that_is_none(spark):
+    flagged = flagged_admissions(admissions(
+        spark, {"age": "45.0", "num_procedures": "2.00"}, {"age": "old"}, {"age": "45.5"},
+        {"total_cost_usd": "a lot"}, {"total_cost_usd": "2000000000000"},
+        {"total_cost_usd": "1" + "0" * 20}, {"age": None}))
+    got = {r["admission_id"]: (r["dq_flag"], r["age"], r["num_procedures"])
+           for r in flagged.collect()}
+    assert got["A1"] == (K.VALID, 45, 2) and got["A7"][0] == K.VALID
+    assert got["A2"][0] == got["A3"][0] == K.AGE_UNPARSEABLE
+    assert got["A4"][0] == got["A6"][0] == K.COST_UNPARSEABLE and got["A5"][0] == K.VALID
+    from wardflow.operators import gold
+    assert gold.financial_summary(flagged.filter("admission_id = 'A5'")).first()[
+        "total_revenue_usd"] == 2e12
+    assert gold.dept_monthly_kpis(flagged.filter("admission_id = 'A5'")).count() == 1
+
+
+def test_rows_without_a_key_are_kept_and_rejected(spark):
+    flagged = flagged_admissions(admissions(
+        spark, {"admission_id": None, "patient_id": "P1"}, {"admission_id": None},
+        {"admission_id": None}, {"admission_id": "A"}, {"admission_id": "A"}))
+    flags = sorted(r["dq_flag"] for r in flagged.collect())
+    assert flags == [K.ADMISSION_ID_MISSING] * 3 + [K.VALID]

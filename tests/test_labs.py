@@ -41,3 +41,12 @@ def test_a_panel_keeps_its_markers(spark):
 def test_text_cleaning(spark):
     row = flagged_labs(labs(spark, {"test_name": " cbc", "lab_status": " preliminary "})).first()
     assert (row["test_name"], row["lab_status"]) == ("CBC", "PRELIMINARY")
+
+
+def test_no_single_value_stops_the_labs(spark):
+    flagged = flagged_labs(labs(spark, *[{"result_value": v} for v in (
+        "1e20", "2e12", "NaN", "Infinity", "-Infinity", "1e308", "5.0")], {"marker": None}))
+    got = [r["dq_flag"] for r in flagged.orderBy("lab_id").collect()]
+    assert got == [K.RESULT_OUT_OF_RANGE, K.VALID, *[K.RESULT_MISSING] * 3, K.RESULT_OUT_OF_RANGE,
+                   K.VALID, K.LAB_ID_MISSING]
+    assert flagged.filter("dq_flag = 'VALID' AND deviation_from_range IS NULL").count() == 0

@@ -195,3 +195,19 @@ def test_hot_patient_is_reduced_to_days_before_any_patient_exchange(spark):
     assert looked_up.count() == 30_000
     assert "NestedLoop" not in executed_plan(looked_up)
     assert "Cartesian" not in executed_plan(looked_up)
+
+
+@pytest.mark.parametrize("seed", [3, 8, 21])
+def test_folded_loads_equal_one_history(spark, seed):
+    """Several changes per load, late and equally dated facts, new patients: any split will do."""
+    every = facts(spark, *random_facts(seed)).withColumn(
+        "load", F.pmod(F.xxhash64("admission_id", F.lit(seed)), F.lit(3)))
+    attributes = ["insurer_name"]
+    so_far = every.filter("load = 0")
+    current = dim.scd2_history(so_far, attributes, attributes)
+    for load in (1, 2):
+        new = every.filter(F.col("load") == load)
+        so_far = so_far.unionByName(new)
+        current = dim.scd2_load(current, new, so_far, attributes, attributes)
+    want = dim.scd2_history(every, attributes, attributes)
+    assert rows(current.select(*want.columns)) == rows(want)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from wardflow.functions import labels, numeric
 from wardflow.plans import audit, serving
-from wardflow.sources.warehouse import warehouse_export
+from wardflow.sources.warehouse import warehouse_export, warehouse_rejects
 
 
 @pytest.mark.parametrize("value, text", [
@@ -83,12 +83,13 @@ def test_equal_revenue_goes_to_the_first_name(spark):
         ("department", "A"), ("insurer_name", "X")]
 
 
-def test_trends_have_every_named_department(spark):
-    df = spark.createDataFrame([("ICU", "2024-01", 3), ("ICU", "2024-02", 4)],
+def test_trends_have_every_department_there_is(spark):
+    df = spark.createDataFrame([("ICU", "2024-01", 3), ("ICU", "2024-02", 4),
+                                ("PEDIATRICS", "2024-02", 2), (None, "2024-02", 1)],
                                "department string, year_month string, total_admissions bigint")
-    trends = serving.monthly_trends(df, ["ICU", "ONCOLOGY"])
-    assert trends.columns == ["year_month", "ICU", "ONCOLOGY"]
-    assert rows(trends) == [("2024-01", 3, 0), ("2024-02", 4, 0)]
+    trends = serving.monthly_trends(df)
+    assert trends.columns == ["year_month", "ICU", "PEDIATRICS", "UNKNOWN"]
+    assert rows(trends) == [("2024-01", 3, 0, 0), ("2024-02", 4, 2, 1)]
 
 
 def test_audit_figures(spark):
@@ -105,9 +106,11 @@ def test_warehouse_contract(spark):
     from wardflow.operators.admissions import flagged_admissions, with_lineage
     silver = with_lineage(flagged_admissions(admissions(
         spark, {"gender": "female", "total_cost_usd": "10.005"},
-        {"total_cost_usd": "123456789012.00"})), "b1")
-    export = warehouse_export(silver)
+        {"total_cost_usd": "123456789012.00"}, {"total_cost_usd": "10.005"},
+        {"admission_id": "A" + "0" * 20})), "b1")
+    export, rejects = warehouse_export(silver), warehouse_rejects(silver)
     assert len(export.columns) == 23
-    first, second = export.orderBy("admission_id").collect()
-    assert first["gender"] == "F" and str(first["total_cost_usd"]) == "10.01"
-    assert second["total_cost_usd"] is None
+    assert [(r["admission_id"], str(r["total_cost_usd"])) for r in export.collect()] == [
+        ("A3", "10.01")]
+    assert rows(rejects, "admission_id", "misfit_columns") == [
+        ("A" + "0" * 20, "admission_id"), ("A1", "gender"), ("A2", "total_cost_usd")]

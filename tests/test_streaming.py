@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+
+import pytest
 from datetime import datetime
 
 from conftest import rows
@@ -27,7 +29,7 @@ def test_parse(spark):
     got = vitals.parse_vitals(messages(spark, NORMAL)).first().asDict()
     assert got["event_ts"] == datetime(2024, 1, 1, 10, 0, 0, 250000)
     assert got["spo2_pct"] == 98 and got["resp_rate"] == 15 and got["temperature_c"] == 37.0
-    assert "timestamp" not in got and "_corrupt" not in got
+    assert got["timestamp"] == NORMAL["timestamp"] and "_corrupt" not in got
 
 
 def test_every_message_is_parsed_or_a_dead_letter(spark):
@@ -40,9 +42,19 @@ def test_every_message_is_parsed_or_a_dead_letter(spark):
     assert ("{bad",) in letters and (None,) in letters
 
 
-def test_a_bad_timestamp_keeps_the_reading(spark):
-    got = vitals.parse_vitals(messages(spark, reading(timestamp="noon"))).first()
-    assert got["event_ts"] is None and got["heart_rate"] == 70
+@pytest.mark.parametrize("text", ["noon", "12:30", "2024-01-01", "2024-13-01T00:00:00Z", ""])
+def test_a_time_that_is_none_makes_a_dead_letter(spark, text):
+    source = messages(spark, reading(timestamp=text))
+    assert vitals.parse_vitals(source).count() == 0
+    assert text in vitals.dead_letters(source).first()["raw_value"]
+
+
+def test_full_times_in_their_forms(spark):
+    times = ["2024-01-01T10:00:00Z", "2024-01-01 10:00:00", "2024-01-01T10:00:00.5+01:00", None]
+    got = vitals.parse_vitals(messages(spark, *[
+        reading(message_id=str(i), timestamp=t) for i, t in enumerate(times)]))
+    assert [r["event_ts"] and r["event_ts"].hour for r in got.orderBy("message_id").collect()] \
+        == [10, 10, 9, None]
 
 
 def alerts(spark, **change):
@@ -105,16 +117,21 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
     assert rows(landed["vitals_dead_letters"], "raw_value") == [("{bad",)]
 
     assert {n: t.count() for n, t in run().items()} == {
-        "vitals": 2, "vitals_dead_letters": 1, "vitals_alerts": 1}
-    deliver("b.json", reading(message_id="m3"))
-    assert run()["vitals"].count() == 3
+        "vitals_raw": 3, "vitals": 2, "vitals_dead_letters": 1, "vitals_alerts": 1}
+    deliver("b.json", reading(message_id="m3", heart_rate=200))
+    after = run()
+    assert after["vitals"].count() == 3 and after["vitals_raw"].count() == 4
+    alerted = after["vitals_alerts"].select("message_id")
+    assert alerted.count() == 2
+    assert alerted.join(after["vitals"], "message_id", "left_anti").count() == 0
 
     # An alert job of its own over the landed table finds the same alerts.
     landed_stream = jobs.landed_vitals(spark, f"{root}/vitals")
     apart = jobs.append_stream(vitals.vitals_alerts(landed_stream), str(tmp_path / "apart"),
                                f"{checkpoints}/apart", available_now=True)
     apart.awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "apart"))) == rows(vitals.vitals_alerts(parsed))
+    assert rows(spark.read.parquet(str(tmp_path / "apart"))) == rows(
+        after["vitals_alerts"].drop("_ingested_at"))
 
 
 def test_message_schema_names_every_vital():

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.sources.files import read_parquet
 
 # Labs share an id across results; these columns order them completely.
 LAB_TIE_BREAK = ["_tiebreak_part", "_tiebreak_supp", "_tiebreak_price"]
@@ -20,7 +19,7 @@ BATCH = "20240101_020000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +53,16 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def widened(admissions: DataFrame) -> DataFrame:
+    """Some doctors' names too long for the warehouse, and some costs too large for it."""
+    number = F.col("admission_id")
+    return admissions.withColumns({
+        "attending_doctor": F.when(number % 53 == 0, F.rpad("attending_doctor", 21, "x"))
+        .otherwise(F.col("attending_doctor")),
+        "total_cost_usd": F.when(number % 59 == 0, F.lit("123456789.0000").cast("decimal(18,4)"))
+        .otherwise(F.col("total_cost_usd"))})
+
+
 def admission_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every admission delivered twice, the second time with one more procedure. Which delivery
     came last differs from row to row, and equal times go to the later batch."""

@@ -310,6 +310,7 @@ vit AS (
     CAST(user_id AS VARCHAR) AS patient_id,
     CASE event_type WHEN 'error' THEN 'ICU' WHEN 'purchase' THEN 'Cardiology'
       WHEN 'signup' THEN 'Neurology' ELSE 'Emergency' END AS department,
+    strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
     CAST(ts AS TIMESTAMP) AS event_ts,
     CASE WHEN event_type = 'error' THEN 'deteriorating' ELSE 'stable' END AS patient_state,
     (event_type = 'error') AS is_anomaly, CAST(25 + event_id % 170 AS INT) AS heart_rate,
@@ -417,6 +418,10 @@ _FINALS = {
         CAST(CAST(total_cost_usd AS DECIMAL(10,2)) AS DOUBLE) AS total_cost_usd,
         length_of_stay_days, age_group, cost_tier, admission_year, admission_month,
         admission_quarter, dq_flag FROM valid""",
+    "warehouse_rejects": """SELECT admission_id, concat_ws(', ',
+        CASE WHEN admission_id % 53 = 0 THEN 'attending_doctor' END,
+        CASE WHEN admission_id % 59 = 0 THEN 'total_cost_usd' END) AS misfit_columns
+      FROM valid WHERE admission_id % 53 = 0 OR admission_id % 59 = 0""",
     # cleaning
     "dedup_admissions": f"""SELECT admission_id, CAST(num_procedures AS VARCHAR) AS num_procedures,
         {_ts("_ingested_at")} AS _ingested_at, _batch_id
@@ -458,7 +463,7 @@ _FINALS = {
     ]),
     "expectations_labs": _expectations("lab_flagged", "silver.labs", [
         ("lab_id", "not_null", _failing("lab_id IS NULL")),
-        ("lab_id", "unique", "COUNT(lab_id) - COUNT(DISTINCT lab_id)"),
+        ("lab_id, marker", "unique", "COUNT(*) - COUNT(DISTINCT (lab_id, marker))"),
         ("admission_id", "not_null", _failing("admission_id IS NULL")),
     ]),
     "expectations_kpis": _expectations("los", "gold.avg_los_by_department", [
@@ -525,23 +530,8 @@ _FINALS = {
     "scd2_initial": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date),
         {_day("last_admission_date")} AS valid_from, '9999-12-31' AS valid_to, TRUE AS is_current
       FROM ({_snapshot("facts")})""",
-    "scd2_merge": f"""SELECT patient_id, age, gender, insurance_id, insurer_name, total_admissions,
-        {_day("last_admission_date")} AS last_admission_date, {_day("valid_from")} AS valid_from,
-        {_day("valid_to")} AS valid_to, is_current
-      FROM (
-        SELECT a.*, a.last_admission_date AS valid_from,
-          CASE WHEN b.patient_id IS NOT NULL AND (a.insurance_id <> b.insurance_id
-                    OR a.insurer_name <> b.insurer_name)
-               THEN CAST(b.last_admission_date - INTERVAL 1 DAY AS DATE) ELSE {_OPEN} END
-            AS valid_to,
-          NOT (b.patient_id IS NOT NULL AND (a.insurance_id <> b.insurance_id
-                    OR a.insurer_name <> b.insurer_name)) AS is_current
-        FROM snap1 a LEFT JOIN snap2 b ON a.patient_id = b.patient_id
-        UNION ALL
-        SELECT b.*, b.last_admission_date, {_OPEN}, TRUE
-        FROM snap2 b LEFT JOIN snap1 a ON a.patient_id = b.patient_id
-        WHERE a.patient_id IS NULL OR a.insurance_id <> b.insurance_id
-           OR a.insurer_name <> b.insurer_name)""",
+    "scd2_merge": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
+        {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history""",
     "scd2_history": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
         {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history""",
     "scd2_late_rebuild": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,

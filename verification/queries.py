@@ -16,7 +16,7 @@ from wardflow.operators import admissions as adm
 from wardflow.operators import dedup, gold, ingest, patient_dim, quality, reports
 from wardflow.operators import labs as lab
 from wardflow.plans import audit, models, serving
-from wardflow.sources.warehouse import warehouse_export
+from wardflow.sources.warehouse import warehouse_export, warehouse_rejects
 from wardflow.streaming import vitals
 
 # A first and a second load for the merge.
@@ -86,10 +86,10 @@ class Layers:
     @cached_property
     def merged_dim(self) -> DataFrame:
         date = F.col("admission_date")
-        first = self.facts.filter(date < F.lit(SECOND_LOAD_FROM).cast("date"))
-        second = self.facts.filter(date >= F.lit(SECOND_LOAD_FROM).cast("date"))
-        dim = patient_dim.scd2_initial(patient_dim.patient_snapshot(first))
-        return patient_dim.scd2_merge(dim, patient_dim.patient_snapshot(second))
+        # The second load has all later facts, several per patient, and some that come late.
+        second = (date >= F.lit(SECOND_LOAD_FROM).cast("date")) | (F.col("admission_id") % 5 == 0)
+        dim = patient_dim.scd2_history(self.facts.filter(~second), ["insurer_name"])
+        return patient_dim.scd2_load(dim, self.facts.filter(second), self.facts, ["insurer_name"])
 
     @cached_property
     def insurer_history(self) -> DataFrame:
@@ -123,7 +123,7 @@ class Layers:
                 "build_readmission_analysis": self.readmissions,
                 "build_financial_summary": self.finance,
                 "build_critical_labs_watch": self.critical,
-            })
+            }, {"build_critical_labs_watch"})
 
 
 def comparable(rows: DataFrame) -> DataFrame:
@@ -173,6 +173,8 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "load_history": _last_three_loads,
     "warehouse_export": lambda d: warehouse_export(adm.with_lineage(
         d.valid, B.BATCH)).drop("_silver_processed_at"),
+    "warehouse_rejects": lambda d: warehouse_rejects(adm.with_lineage(
+        B.widened(d.valid), B.BATCH)).select("admission_id", "misfit_columns"),
     # cleaning
     "dedup_admissions": lambda d: dedup.latest_per_key(
         d.deliveries, ["admission_id"], ["_ingested_at", "_batch_id"]).select(
@@ -222,7 +224,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     # patient history
     "patient_snapshot": lambda d: patient_dim.patient_snapshot(d.valid),
     "scd2_initial": lambda d: patient_dim.scd2_initial(patient_dim.patient_snapshot(d.facts)),
-    "scd2_merge": lambda d: d.merged_dim,
+    "scd2_merge": lambda d: d.merged_dim.select(*_HISTORY),
     "scd2_history": lambda d: d.insurer_history.select(*_HISTORY),
     "scd2_late_rebuild": lambda d: d.rebuilt_after_late_facts.select(*_HISTORY),
     "scd2_counts": lambda d: patient_dim.scd2_counts(d.insurer_history),
@@ -236,7 +238,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "serve_summary": lambda d: serving.summary(
         d.kpis, d.critical, quality.quarantined(d.flagged)),
     "serve_dept_annual": lambda d: serving.dept_annual(d.kpis),
-    "serve_monthly_trends": lambda d: serving.monthly_trends(d.kpis, B.DEPARTMENTS),
+    "serve_monthly_trends": lambda d: serving.monthly_trends(d.kpis),
     "serve_readmission_risk": lambda d: serving.readmission_risk(d.readmissions),
     "serve_critical_labs": lambda d: serving.critical_labs(d.critical),
     "serve_insurer_revenue": lambda d: serving.insurer_revenue(d.finance),

@@ -13,6 +13,7 @@ DEPARTMENTS = ["CARDIOLOGY", "NEUROLOGY", "ORTHOPEDICS", "EMERGENCY", "ICU", "ON
 VALID = "VALID"
 SELF_PAY = "SELF_PAY"
 UNKNOWN_INSURER = "UNKNOWN"
+UNKNOWN_DEPARTMENT = "UNKNOWN"
 
 # --- bands: (exclusive upper bound, label), then the label beyond the last bound
 AGE_BANDS = [(30, "18-29"), (45, "30-44"), (60, "45-59"), (75, "60-74")]
@@ -35,18 +36,28 @@ ADMISSION_MISSING = "NULL_DATE:admission"
 DISCHARGE_MISSING = "NULL_DATE:discharge"
 LOS_SUSPICIOUS = "SUSPICIOUS_LOS:over_365_days"
 COST_NON_POSITIVE = "INVALID_COST:non_positive"
+# Flags of this library: rows that used to be merged, emptied or read as valid.
+ADMISSION_ID_MISSING = "NULL_ID:admission"
+AGE_UNPARSEABLE = "INVALID_AGE:unparseable"
+COST_UNPARSEABLE = "INVALID_COST:unparseable"
 MAX_AGE = 120
 MAX_STAY_DAYS = 365
 ADMISSION_FLAGS = [
     VALID, LOS_NEGATIVE, AGE_NEGATIVE, AGE_UNREALISTIC, ADMISSION_MISSING,
     DISCHARGE_MISSING, LOS_SUSPICIOUS, COST_NON_POSITIVE,
+    ADMISSION_ID_MISSING, AGE_UNPARSEABLE, COST_UNPARSEABLE,
 ]
 
 # --- lab quality flags, in order of precedence
 RESULT_MISSING = "NULL_RESULT_VALUE"
 COLLECTION_MISSING = "NULL_COLLECTION_TIME"
 TAT_NEGATIVE = "INVALID_TAT:negative"
-LAB_FLAGS = [VALID, RESULT_MISSING, COLLECTION_MISSING, TAT_NEGATIVE]
+# Flags of this library. A result of this size cannot be measured, rounded and summed exactly.
+LAB_ID_MISSING = "NULL_ID:lab"
+RESULT_OUT_OF_RANGE = "INVALID_RESULT:out_of_range"
+MAX_RESULT = 1e15
+LAB_FLAGS = [VALID, RESULT_MISSING, COLLECTION_MISSING, TAT_NEGATIVE, LAB_ID_MISSING,
+             RESULT_OUT_OF_RANGE]
 
 # --- vitals: normal low, normal high, critical low, critical high
 VITAL_RANGES = {
@@ -122,9 +133,10 @@ VITALS_MESSAGE_DDL = """
     diastolic_bp int, spo2_pct int, temperature_c double, resp_rate int
 """
 VITALS_LANDED_DDL = """
-    message_id string, patient_id string, department string, patient_state string,
-    is_anomaly boolean, heart_rate int, systolic_bp int, diastolic_bp int, spo2_pct int,
-    temperature_c double, resp_rate int, event_ts timestamp, _ingested_at timestamp
+    message_id string, patient_id string, department string, timestamp string,
+    patient_state string, is_anomaly boolean, heart_rate int, systolic_bp int, diastolic_bp int,
+    spo2_pct int, temperature_c double, resp_rate int, event_ts timestamp,
+    _ingested_at timestamp
 """
 AUDIT_DDL = """
     step string, layer string, status string, records_in bigint, records_out bigint,

@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RATIO = "decimal(18,6)"
+# Wide enough for every value the quality rules accept; a cast that could still fail gives NULL,
+# so that no single value stops a stage.
+RATIO = "decimal(38,6)"
 MONEY = "decimal(18,4)"
-FRACTION = "decimal(18,3)"
+FRACTION = "decimal(28,3)"
 REVENUE = "decimal(28,2)"
 
 
 def rounded(value: Column, scale: int) -> Column:
     """Half-up rounding of a ratio-sized number, returned as double."""
-    return F.round(value.cast(RATIO), scale).cast("double")
+    return F.round(value.try_cast(RATIO), scale).cast("double")
 
 
 def rounded_total(total: Column, scale: int = 2) -> Column:
@@ -28,12 +30,12 @@ def rounded_total(total: Column, scale: int = 2) -> Column:
 
 
 def exact_sum(column: str) -> Column:
-    return F.sum(F.col(column).cast(FRACTION))
+    return F.sum(F.col(column).try_cast(FRACTION))
 
 
 def revenue_sum(column: str) -> Column:
     """Sum of already rounded revenue figures, wide enough for any number of them."""
-    return F.sum(F.col(column).cast(REVENUE))
+    return F.sum(F.col(column).try_cast(REVENUE))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -80,7 +82,13 @@ def seconds_between(start: str | Column, end: str | Column) -> Column:
                             F.col(end) if isinstance(end, str) else end)
 
 
-def finite_or_null(column: str) -> Column:
+def finite_or_null(column: str | Column) -> Column:
     """NaN and infinities as NULL, the only form JSON consumers accept."""
-    value = F.col(column).cast("double")
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
     return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+
+
+def whole_number(column: str) -> Column:
+    """An integer from text such as ``45`` or ``45.0``; NULL for anything else."""
+    value = F.col(column).try_cast(RATIO)
+    return F.when(value == F.floor(value), value.try_cast("int"))

@@ -32,6 +32,9 @@ def admission_rules() -> list[Rule]:
         Rule(K.DISCHARGE_MISSING, F.col("discharge_date").isNull()),
         Rule(K.LOS_SUSPICIOUS, stay > K.MAX_STAY_DAYS),
         Rule(K.COST_NON_POSITIVE, F.col("total_cost_usd") <= 0),
+        Rule(K.ADMISSION_ID_MISSING, F.col("admission_id").isNull()),
+        Rule(K.AGE_UNPARSEABLE, F.col("_unparsed_age")),
+        Rule(K.COST_UNPARSEABLE, F.col("_unparsed_cost")),
     ]
 
 
@@ -40,4 +43,6 @@ def lab_rules() -> list[Rule]:
         Rule(K.RESULT_MISSING, F.col("result_value").isNull()),
         Rule(K.COLLECTION_MISSING, F.col("collected_at").isNull()),
         Rule(K.TAT_NEGATIVE, F.col("tat_minutes") < 0),
+        Rule(K.LAB_ID_MISSING, F.col("lab_id").isNull() | F.col("marker").isNull()),
+        Rule(K.RESULT_OUT_OF_RANGE, F.abs("result_value") >= K.MAX_RESULT),
     ]

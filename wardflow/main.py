@@ -3,6 +3,7 @@
     spark-submit wardflow/main.py batch --lake URI --admissions URI --labs URI [--stage NAME ...]
     spark-submit wardflow/main.py stream --lake URI --checkpoints URI --brokers HOSTS
     spark-submit wardflow/main.py query --lake URI --endpoint summary
+    spark-submit wardflow/main.py query --lake URI --endpoint finance-detail --csv URI
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from wardflow.plans import batch, endpoints  # noqa: E402
 from wardflow.session import build_session  # noqa: E402
+from wardflow.sources import files  # noqa: E402
 from wardflow.sources.lake import Lake  # noqa: E402
 from wardflow.streaming import jobs  # noqa: E402
 
@@ -29,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--labs", required=True)
     run.add_argument("--batch-id",
                      default=datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S"))
+    run.add_argument("--keep", type=int, default=2, help="published runs to keep")
     run.add_argument("--stage", action="append", choices=batch.STAGES,
                      help="only these stages; give the batch id of the run they belong to")
 
@@ -39,8 +42,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--folder")
     stream.add_argument("--available-now", action="store_true")
 
-    query = commands.add_parser("query", help="print one endpoint as JSON lines")
-    query.add_argument("--endpoint", required=True, choices=list(endpoints.ENDPOINTS))
+    query = commands.add_parser("query", help="print one endpoint or view as JSON lines")
+    query.add_argument("--endpoint", required=True,
+                       choices=[*endpoints.ENDPOINTS, *endpoints.VIEWS])
+    query.add_argument("--csv", help="write it as headed CSV to this folder instead")
 
     for command in (run, stream, query):
         command.add_argument("--lake", required=True)
@@ -52,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"wardflow-{args.command}")
     lake = Lake(spark, args.lake)
     if args.command == "batch":
-        batch.run_batch(spark, lake, args.batch_id, args.admissions, args.labs, stages=args.stage)
+        batch.run_batch(spark, lake, args.batch_id, args.admissions, args.labs, keep=args.keep,
+                        stages=args.stage)
     elif args.command == "stream":
         messages = (jobs.kafka_messages(spark, args.brokers) if args.brokers
                     else jobs.file_messages(spark, args.folder))
@@ -61,7 +67,11 @@ def main(argv: list[str] | None = None) -> None:
         for query in queries.values():
             query.awaitTermination()
     else:
-        for line in endpoints.ENDPOINTS[args.endpoint](lake).toJSON().toLocalIterator():
+        result = {**endpoints.ENDPOINTS, **endpoints.VIEWS}[args.endpoint](lake)
+        if args.csv:
+            files.write_csv(result, args.csv)
+            return
+        for line in result.toJSON().toLocalIterator():
             print(line)
 
 

@@ -9,25 +9,23 @@ from wardflow import constants as K
 from wardflow.functions import labels, numeric, parsing, rules
 from wardflow.operators.dedup import latest_per_key
 
-STAGING_COLUMNS = [
-    "admission_id", "patient_id", "attending_doctor", "admission_date", "discharge_date",
-    "age", "age_group", "gender", "department", "diagnosis", "length_of_stay_days",
-    "readmission", "icu_stay", "num_procedures", "insurance_id", "insurer_name",
-    "total_cost_usd", "cost_tier", "admission_year", "admission_month", "admission_quarter",
-    "dq_flag",
-]
-
 
 def typed(bronze: DataFrame) -> DataFrame:
-    """Parse and cast; whatever does not parse becomes NULL and is flagged later."""
+    """Parse and cast; whatever does not parse becomes NULL and is flagged later.
+
+    ``_unparsed_age`` and ``_unparsed_cost`` tell text that is no number from a missing one.
+    """
+    age, cost = numeric.whole_number("age"), F.col("total_cost_usd").try_cast(numeric.MONEY)
     return bronze.withColumns({
         "admission_date": parsing.iso_date("admission_date"),
         "discharge_date": parsing.iso_date("discharge_date"),
-        "age": F.col("age").try_cast("int"),
-        "num_procedures": F.col("num_procedures").try_cast("int"),
+        "age": age,
+        "num_procedures": numeric.whole_number("num_procedures"),
         "readmission": F.col("readmission").try_cast("boolean"),
         "icu_stay": F.col("icu_stay").try_cast("boolean"),
-        "total_cost_usd": F.col("total_cost_usd").try_cast(numeric.MONEY),
+        "total_cost_usd": cost,
+        "_unparsed_age": F.col("age").isNotNull() & age.isNull(),
+        "_unparsed_cost": F.col("total_cost_usd").isNotNull() & cost.isNull(),
     })
 
 
@@ -65,7 +63,7 @@ def flagged_admissions(bronze: DataFrame, newest_first: list[str] | None = None,
     parsed = standardized(typed(bronze))
     rows = derived(latest_per_key(parsed, ["admission_id"], newest_first, tie_break))
     return (rows.withColumn("dq_flag", rules.quality_flag(rules.admission_rules()))
-            .drop("_source", "_source_file", "_batch_id"))
+            .drop("_source", "_source_file", "_batch_id", "_unparsed_age", "_unparsed_cost"))
 
 
 def with_lineage(rows: DataFrame, batch_id: str, processed_at: Column | None = None) -> DataFrame:
@@ -73,8 +71,3 @@ def with_lineage(rows: DataFrame, batch_id: str, processed_at: Column | None = N
         "_silver_processed_at": F.current_timestamp() if processed_at is None else processed_at,
         "_silver_batch_id": F.lit(batch_id),
     })
-
-
-def staging(admissions: DataFrame) -> DataFrame:
-    """Column contract the SQL models read: valid rows only."""
-    return admissions.filter(F.col("dq_flag") == K.VALID).select(*STAGING_COLUMNS)

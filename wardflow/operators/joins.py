@@ -21,11 +21,14 @@ def aggregate_with_distincts(rows: DataFrame, keys: list[str], measures: list[Co
                              distincts: dict[str, str]) -> DataFrame:
     """Grouped measures plus exact distinct counts, ``{output name: counted column}``.
 
-    Put into one aggregate, a distinct count makes every row carry all measure buffers through
-    the shuffle (and two of them copy every input row). Counted on their own, the shuffled rows
-    hold the group keys and the counted column only, the scan reads just those columns, and the
-    results meet again on group keys, a handful of rows.
+    One distinct count shares the aggregate of the measures, which reduces to one row per group
+    and counted value before the shuffle. Two or more in one aggregate would copy every input row
+    for each, so then every count is a pass of its own over the group keys and its column, and
+    the results meet again on group keys, a handful of rows.
     """
+    if len(distincts) == 1:
+        (name, column), = distincts.items()
+        return rows.groupBy(*keys).agg(*measures, F.count_distinct(column).alias(name))
     result = rows.groupBy(*keys).agg(*measures)
     for name, column in distincts.items():
         counts = rows.groupBy(*keys).agg(F.count_distinct(column).alias(name))

@@ -13,9 +13,9 @@ def typed(bronze: DataFrame) -> DataFrame:
     return bronze.withColumns({
         "collected_at": parsing.iso_timestamp("collected_at"),
         "resulted_at": parsing.iso_timestamp("resulted_at"),
-        "result_value": F.col("result_value").try_cast("double"),
-        "reference_low": F.col("reference_low").try_cast("double"),
-        "reference_high": F.col("reference_high").try_cast("double"),
+        "result_value": numeric.finite_or_null(F.col("result_value").try_cast("double")),
+        "reference_low": numeric.finite_or_null(F.col("reference_low").try_cast("double")),
+        "reference_high": numeric.finite_or_null(F.col("reference_high").try_cast("double")),
         "is_critical": F.col("is_critical").try_cast("boolean"),
         "test_name": labels.clean_text("test_name"),
         "lab_status": labels.clean_text("lab_status"),

@@ -57,6 +57,9 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, tracked: list[str] | None =
                effective: str = "last_admission_date") -> DataFrame:
     """Merge one snapshot into the dimension: expire changed versions and open their successors.
 
+    A snapshot knows the last state of a patient only; a load of facts with several changes, or
+    with totals that go on counting, is merged by ``scd2_load``.
+
     Only current rows take part in the join; closed versions pass through unshuffled. Unchanged
     patients keep their row as it is, so merging the same snapshot twice changes nothing. A
     change effective on the day the current version began replaces that version, since it would
@@ -101,29 +104,26 @@ def rebuild_patients(dim: DataFrame, facts: DataFrame, patients: DataFrame,
     return dim.join(patients, KEY, "left_anti").unionByName(rebuilt.select(*dim.columns))
 
 
-def scd2_history(facts: DataFrame, tracked: list[str] | None = None,
-                 attributes: list[str] | None = None, date: str = "admission_date",
-                 fact_id: str = "admission_id") -> DataFrame:
-    """Every version of every patient in one pass over the facts (gaps and islands).
-
-    ``total_admissions`` counts up to the end of the version; other attributes are those of its
-    last day.
-    """
-    tracked = tracked or TRACKED
-    attributes = attributes or ATTRIBUTES
-    day_state = (
+def _day_states(facts: DataFrame, attributes: list[str], date: str, fact_id: str) -> DataFrame:
+    """One row per patient and day: the state of the highest fact id, and how many facts."""
+    return (
         facts.filter(F.col(date).isNotNull()).groupBy(KEY, F.col(date).alias("day"))
         .agg(F.max_by(F.struct(*attributes), F.col(fact_id)).alias("state"),
-             F.count(F.lit(1)).alias("n")))
+             F.count(F.lit(1)).alias("n"))
+        .withColumn("start", F.col("day")))
+
+
+def _versions(day_states: DataFrame, tracked: list[str]) -> DataFrame:
+    """Runs of days with the same tracked state (gaps and islands), as dimension rows."""
     by_day = Window.partitionBy(KEY).orderBy("day")
     before = F.lag("state").over(by_day)
     islands = (
-        day_state.withColumn("before", before)
+        day_states.withColumn("before", before)
         .withColumn("starts", F.col("before").isNull() | _changed(tracked, "before", "state"))
         .withColumn("island", F.sum(F.col("starts").cast("int")).over(
             by_day.rowsBetween(Window.unboundedPreceding, 0))))
     versions = islands.groupBy(KEY, "island").agg(
-        F.min("day").alias("valid_from"), F.max("day").alias("last_admission_date"),
+        F.min("start").alias("valid_from"), F.max("day").alias("last_admission_date"),
         F.max_by("state", "day").alias("state"), F.sum("n").alias("n"))
     by_version = Window.partitionBy(KEY).orderBy("island")
     following = F.lead("valid_from").over(by_version)
@@ -136,6 +136,50 @@ def scd2_history(facts: DataFrame, tracked: list[str] | None = None,
         following.isNull().alias("is_current"))
 
 
+def scd2_history(facts: DataFrame, tracked: list[str] | None = None,
+                 attributes: list[str] | None = None, date: str = "admission_date",
+                 fact_id: str = "admission_id") -> DataFrame:
+    """Every version of every patient in one pass over the facts.
+
+    ``total_admissions`` counts up to the end of the version; other attributes are those of its
+    last day.
+    """
+    return _versions(_day_states(facts, attributes or ATTRIBUTES, date, fact_id),
+                     tracked or TRACKED)
+
+
+def scd2_load(dim: DataFrame, new_facts: DataFrame, all_facts: DataFrame,
+              tracked: list[str] | None = None, attributes: list[str] | None = None,
+              date: str = "admission_date", fact_id: str = "admission_id") -> DataFrame:
+    """The dimension after a load of new facts: the history of all facts, at the cost of the load.
+
+    Only patients of the load are touched. Where all their new facts are later than what the
+    current version has seen, the current version goes on as if it were one day of facts: it may
+    be extended, or closed by any number of new versions, and totals keep counting. A patient
+    with an older or equally dated fact is rebuilt from ``all_facts``, which include the new ones.
+    Closed versions and untouched patients pass through.
+    """
+    tracked, attributes = tracked or TRACKED, attributes or ATTRIBUTES
+    dated = new_facts.filter(F.col(date).isNotNull())
+    current = dim.filter(F.col("is_current"))
+    touched = dated.groupBy(KEY).agg(F.min(date).alias("_first")).join(
+        current.select(KEY, F.col("last_admission_date").alias("_seen")), KEY, "left")
+    late = touched.filter(F.col("_first") <= F.col("_seen")).select(KEY)
+    on_time = touched.filter(F.col("_seen").isNull() | (F.col("_first") > F.col("_seen"))) \
+        .select(KEY)
+
+    seeds = current.join(on_time, KEY, "left_semi").select(
+        KEY, F.col("last_admission_date").alias("day"), F.struct(*attributes).alias("state"),
+        F.col("total_admissions").alias("n"), F.col("valid_from").alias("start"))
+    days = _day_states(dated.join(on_time, KEY, "left_semi"), attributes, date, fact_id)
+    columns = dim.columns
+    return (dim.join(touched.select(KEY), KEY, "left_anti")
+            .unionByName(dim.filter(~F.col("is_current")).join(on_time, KEY, "left_semi"))
+            .unionByName(_versions(seeds.unionByName(days), tracked).select(*columns))
+            .unionByName(scd2_history(all_facts.join(late, KEY, "left_semi"), tracked, attributes,
+                                      date, fact_id).select(*columns)))
+
+
 def scd2_counts(dim: DataFrame) -> DataFrame:
     return dim.agg(F.count(F.lit(1)).alias("total_versions"),
                    F.count_if(F.col("is_current")).alias("current_versions"),

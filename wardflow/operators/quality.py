@@ -71,8 +71,8 @@ def between(column: str, low: float, high: float) -> Expectation:
     return Expectation(column, f"between_{low}_{high}", ~F.col(column).between(low, high))
 
 
-def unique(column: str) -> Expectation:
-    return Expectation(column, "unique", None)
+def unique(*columns: str) -> Expectation:
+    return Expectation(", ".join(columns), "unique", None)
 
 
 def admission_expectations() -> list[Expectation]:
@@ -83,7 +83,7 @@ def admission_expectations() -> list[Expectation]:
 
 
 def lab_expectations() -> list[Expectation]:
-    return [not_null("lab_id"), unique("lab_id"), not_null("admission_id")]
+    return [not_null("lab_id"), unique("lab_id", "marker"), not_null("admission_id")]
 
 
 def kpi_expectations(departments: list[str]) -> list[Expectation]:
@@ -114,8 +114,8 @@ def evaluate(rows: DataFrame, table: str, expectations: list[Expectation]) -> Da
             for i, e in enumerate(row_level)]))))
     for e in expectations:
         if e.broken is None:
-            per_value = (rows.filter(F.col(e.column).isNotNull()).groupBy(e.column)
-                         .agg(F.count(F.lit(1)).alias("n")))
+            key = e.column.split(", ")
+            per_value = rows.na.drop(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
             results.append(per_value.agg(
                 F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failures"))
                 .select(F.lit(e.column).alias("column_name"), F.lit(e.test).alias("test"),
@@ -148,6 +148,6 @@ def freshness_check(monthly: DataFrame, month: str = "admission_month",
 
 def require(checks: DataFrame, passed: str) -> None:
     """Raise unless every row of a small check result passed."""
-    failed = [row.asDict() for row in checks.filter(~F.col(passed)).limit(20).toLocalIterator()]
+    failed = [row.asDict() for row in checks.filter(~F.col(passed)).toLocalIterator()]
     if failed:
         raise QualityError(f"failed checks: {failed}")

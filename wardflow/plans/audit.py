@@ -27,11 +27,11 @@ def _counts(rows: DataFrame, **measures) -> DataFrame:
 
 def layer_reconciliation(bronze_admissions: DataFrame, bronze_labs: DataFrame,
                          flagged_admissions: DataFrame, flagged_labs: DataFrame,
-                         gold: dict[str, DataFrame]) -> DataFrame:
+                         gold: dict[str, DataFrame], from_labs: set[str]) -> DataFrame:
     """Records in and out of the eight steps, recounted from the tables themselves.
 
     Each input is counted once; the steps are then laid out from those single rows. ``gold``
-    maps step name to table; steps whose name mentions labs read Silver labs.
+    maps step name to table; the steps in ``from_labs`` read Silver labs, the others admissions.
     """
     valid = F.count_if(F.col("dq_flag") == K.VALID)
     counts = [
@@ -57,7 +57,7 @@ def layer_reconciliation(bronze_admissions: DataFrame, bronze_labs: DataFrame,
         step("transform_admissions", "silver", "bronze_adm", "adm",
              F.concat(F.lit("quarantined="), F.col("rejected").cast("string"))),
         step("transform_labs", "silver", "bronze_lab", "lab"),
-        *[step(n, "gold", "lab" if "labs" in n else "adm", f"out_{n}") for n in gold],
+        *[step(n, "gold", "lab" if n in from_labs else "adm", f"out_{n}") for n in gold],
     ]
     return records_flow(wide.select(F.inline(F.array(*steps))))
 

@@ -1,8 +1,9 @@
 """The nightly batch: CSV to Bronze to Silver, patient history, Gold, models, checks and audit.
 
 Every stage is a function from DataFrames to DataFrames; this module only reads, writes and
-counts. Each stage reads what the one before wrote, so lineage never spans more than one stage
-and a lost executor costs at most the running one.
+counts. Each stage reads what the one before wrote in the same run, so lineage never spans more
+than one stage and a lost executor costs at most the running one. Dashboards read what a run has
+published, and a run publishes its tables together, after its checks.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from wardflow.operators import admissions as adm
 from wardflow.operators import gold, ingest, patient_dim, quality
 from wardflow.operators import labs as lab
 from wardflow.plans import audit, models
-from wardflow.session import size_shuffles
 from wardflow.sources import files
-from wardflow.sources.lake import Lake, input_bytes
+from wardflow.sources.lake import Lake
 
 # Table folders by layer.
 BRONZE_ADMISSIONS = "bronze/admissions"
 BRONZE_LABS = "bronze/labs"
+BRONZE_REJECTS = "bronze/rejects"
 SILVER_ADMISSIONS = "silver/admissions"
 SILVER_LABS = "silver/labs"
 PATIENT_DIM = "silver/dim_patient"
@@ -37,20 +38,26 @@ GOLD_MART = "gold/mart_dept_monthly_kpis"
 AUDIT = "audit/steps"
 EXPECTATIONS = "audit/expectations"
 
-_BRONZE_AUDIT_DDL = "_ingested_at timestamp, _source string, _batch_id string"
+# What a run publishes.
+TABLES = [SILVER_ADMISSIONS, SILVER_LABS, PATIENT_DIM, GOLD_KPIS, GOLD_READMISSIONS, GOLD_FINANCE,
+          GOLD_CRITICAL, GOLD_LOS, GOLD_MART, EXPECTATIONS]
+
+_BRONZE_AUDIT_DDL = ("_ingested_at timestamp, _source string, _source_file string, "
+                     "_batch_id string")
+REJECTS_DDL = f"raw_line string, first_field string, {_BRONZE_AUDIT_DDL}"
 _SILVER_DDL = {SILVER_ADMISSIONS: K.SILVER_ADMISSIONS_DDL, SILVER_LABS: K.SILVER_LABS_DDL}
 
 
 @dataclass
 class BatchRun:
-    """One run over one lake. ``resize`` sets the shuffle width from the input size."""
+    """One run over one lake. ``keep`` published runs stay when this one is published."""
 
     spark: SparkSession
     lake: Lake
     batch_id: str
     as_of: Column | None = None
     min_group: int = K.MIN_GROUP
-    resize: bool = True
+    keep: int = 2
     steps: list[dict] = field(default_factory=list)
     started: float = field(default_factory=time.monotonic)
 
@@ -66,24 +73,22 @@ class BatchRun:
         except Exception as problem:  # noqa: BLE001
             print(f"audit row of {step} not written: {problem}")
 
-    def size_for(self, *locations: str) -> None:
-        """Set the shuffle width for a stage that moves all of the largest of these."""
-        if self.resize:
-            size_shuffles(self.spark, max(input_bytes(self.spark, p) for p in locations))
-
     # --- bronze ----------------------------------------------------------
 
-    def ingest(self, admissions_csv: str, labs_csv: str) -> None:
-        self.size_for(admissions_csv, labs_csv)
-        for step, path, reader, table, source, folder in (
-            ("ingest_admissions", admissions_csv, files.read_admissions_csv, BRONZE_ADMISSIONS,
+    def ingest(self, admissions_csv: str | list[str], labs_csv: str | list[str]) -> None:
+        """Well-formed lines go to Bronze, the text of the others to its reject table."""
+        for step, path, ddl, table, source, folder in (
+            ("ingest_admissions", admissions_csv, K.ADMISSIONS_RAW_DDL, BRONZE_ADMISSIONS,
              K.ADMISSIONS_SOURCE, "department"),
-            ("ingest_labs", labs_csv, files.read_labs_csv, BRONZE_LABS, K.LABS_SOURCE,
-             "test_name"),
+            ("ingest_labs", labs_csv, K.LABS_RAW_DDL, BRONZE_LABS, K.LABS_SOURCE, "test_name"),
         ):
-            raw = ingest.audit_columns(reader(self.spark, path), self.batch_id, source)
-            seen = self.lake.write_batch(raw, table, self.batch_id, [folder])
-            self.log(step, "bronze", seen["rows"], seen["rows"])
+            lines = ingest.audit_columns(files.read_csv_lines(self.spark, path, ddl),
+                                         self.batch_id, source, source_file=True)
+            seen = self.lake.write_batch(files.well_formed(lines), table, self.batch_id, [folder])
+            bad = self.lake.write_batch(files.malformed(lines), BRONZE_REJECTS,
+                                        f"{self.batch_id}.{source}")["rows"]
+            self.log(step, "bronze", seen["rows"] + bad, seen["rows"],
+                     f"rejected={bad}" if bad else "")
 
     def bronze(self, table: str):
         ddl = K.ADMISSIONS_RAW_DDL if table == BRONZE_ADMISSIONS else K.LABS_RAW_DDL
@@ -96,7 +101,6 @@ class BatchRun:
 
         Writing them as two tables would run the deduplication twice or hold it in memory.
         """
-        self.size_for(self.lake.path(BRONZE_ADMISSIONS), self.lake.path(BRONZE_LABS))
         valid = F.count_if(F.col("outcome") == "valid")
         for step, bronze, table, flag, folders in (
             ("transform_admissions", BRONZE_ADMISSIONS, SILVER_ADMISSIONS,
@@ -112,29 +116,41 @@ class BatchRun:
             self.log(step, "silver", raw.count(), seen["valid"], f"quarantined={rejected}")
 
     def silver(self, table: str):
-        """Valid rows of the newest version; the filter prunes folders."""
-        rows = self.lake.read(table, _SILVER_DDL[table])
-        return rows.filter(F.col("outcome") == "valid").drop("outcome")
+        """Valid rows of this run; the filter prunes folders."""
+        return silver(self.lake, table, self.batch_id)
 
     def quarantine(self, table: str):
-        """Rejected rows of the newest version; earlier ones stay with theirs until expired."""
-        rows = self.lake.read(table, _SILVER_DDL[table])
-        return rows.filter(F.col("outcome") == "rejected").drop("outcome")
+        """Rejected rows of this run. Silver is built from all of Bronze, so they accumulate."""
+        return quarantine(self.lake, table, self.batch_id)
 
     def patient_dim(self):
-        return self.lake.read(PATIENT_DIM, K.PATIENT_DIM_DDL)
+        return self.lake.read(PATIENT_DIM, K.PATIENT_DIM_DDL, self.batch_id)
 
     def build_patient_dim(self) -> None:
-        """History from all valid facts: right for late facts, and the same on every rerun."""
+        """Merge into the published dimension, or build it from all valid facts the first time.
+
+        Patients whose facts this delivery adds or replaces are rebuilt from all their facts; the
+        versions of all others are taken over. A fact that changed its patient, was corrected or
+        is now rejected touches the patients of its old and its new form.
+        """
         facts = self.silver(SILVER_ADMISSIONS)
-        dim = patient_dim.scd2_history(facts)
+        if PATIENT_DIM in self.lake.published():
+            keys = self.bronze(BRONZE_ADMISSIONS).filter(
+                F.col("_batch_id") == self.batch_id).select("admission_id").distinct()
+            before = silver(self.lake, SILVER_ADMISSIONS).select("admission_id", "patient_id")
+            now = facts.select("admission_id", "patient_id")
+            touched = before.unionByName(now).join(keys, "admission_id", "left_semi") \
+                .select("patient_id").distinct()
+            dim = patient_dim.rebuild_patients(
+                self.lake.read(PATIENT_DIM, K.PATIENT_DIM_DDL), facts, touched)
+        else:
+            dim = patient_dim.scd2_history(facts)
         seen = self.lake.write_version(dim, PATIENT_DIM, self.batch_id, ["is_current"])
         self.log("scd2_patient_dim", "silver", facts.count(), seen["rows"])
 
     # --- gold ------------------------------------------------------------
 
     def build_gold(self) -> None:
-        self.size_for(self.lake.path(SILVER_ADMISSIONS), self.lake.path(SILVER_LABS))
         facts, results = self.silver(SILVER_ADMISSIONS), self.silver(SILVER_LABS)
         n_facts, n_results = facts.count(), results.count()
         sql = models.build_models(self.spark, facts)
@@ -156,11 +172,13 @@ class BatchRun:
     def check(self) -> None:
         """Write every expectation's result, then raise if a condition of the run fails.
 
-        The run depends on the gates, on freshness and on the admission expectations; results
-        for labs and models are there to read.
+        The run depends on the gates, on freshness and on the admission and lab expectations;
+        results for models are there to read. Only after that are the run's tables published, and
+        runs that nobody needs any more expired.
         """
-        facts, kpis = self.silver(SILVER_ADMISSIONS), self.lake.read(GOLD_KPIS)
-        monthly = self.lake.read(GOLD_LOS)
+        facts = self.silver(SILVER_ADMISSIONS)
+        kpis = self.lake.read(GOLD_KPIS, version=self.batch_id)
+        monthly = self.lake.read(GOLD_LOS, version=self.batch_id)
         tested = (
             quality.evaluate(facts, SILVER_ADMISSIONS, quality.admission_expectations())
             .unionByName(quality.evaluate(self.silver(SILVER_LABS), SILVER_LABS,
@@ -170,19 +188,36 @@ class BatchRun:
         self.lake.write_version(tested, EXPECTATIONS, self.batch_id)
         quality.require(quality.quality_gates(facts, kpis), "passed")
         quality.require(quality.freshness_check(monthly), "is_fresh")
-        on_admissions = self.lake.read(EXPECTATIONS).filter(
-            F.col("table_name") == SILVER_ADMISSIONS)
-        quality.require(on_admissions.withColumn("passed", F.col("failures") == 0), "passed")
+        on_silver = self.lake.read(EXPECTATIONS, version=self.batch_id).filter(
+            F.col("table_name").isin(SILVER_ADMISSIONS, SILVER_LABS)
+            & (F.col("column_name") != "admission_id")
+            | (F.col("table_name") == SILVER_ADMISSIONS))
+        quality.require(on_silver.withColumn("passed", F.col("failures") == 0), "passed")
+        self.lake.publish(self.batch_id, TABLES)
+        self.lake.expire(self.keep)
+
+
+def silver(lake: Lake, table: str, version: str | None = None):
+    """Valid Silver rows, published ones unless a run is named."""
+    rows = lake.read(table, _SILVER_DDL[table], version)
+    return rows.filter(F.col("outcome") == "valid").drop("outcome")
+
+
+def quarantine(lake: Lake, table: str, version: str | None = None):
+    """Rejected Silver rows, published ones unless a run is named."""
+    rows = lake.read(table, _SILVER_DDL[table], version)
+    return rows.filter(F.col("outcome") == "rejected").drop("outcome")
 
 
 STAGES = ["ingest", "build_silver", "build_patient_dim", "build_gold", "check"]
 
 
-def run_batch(spark: SparkSession, lake: Lake, batch_id: str, admissions_csv: str, labs_csv: str,
-              as_of: Column | None = None, min_group: int = K.MIN_GROUP, resize: bool = True,
+def run_batch(spark: SparkSession, lake: Lake, batch_id: str,
+              admissions_csv: str | list[str], labs_csv: str | list[str],
+              as_of: Column | None = None, min_group: int = K.MIN_GROUP, keep: int = 2,
               stages: list[str] | None = None) -> BatchRun:
-    """Run the stages for one delivery. Repeating a batch id, or a stage, replaces its output."""
-    run = BatchRun(spark, lake, batch_id, as_of, min_group, resize)
+    """Run the stages for one delivery. Repeating a batch id, or a stage, supersedes its output."""
+    run = BatchRun(spark, lake, batch_id, as_of, min_group, keep)
     for stage in stages or STAGES:
         try:
             if stage == "ingest":
@@ -190,6 +225,6 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, admissions_csv: st
             else:
                 getattr(run, stage)()
         except Exception as problem:
-            run.log(stage, "run", 0, 0, str(problem)[:500], status="failure")
+            run.log(stage, "run", 0, 0, str(problem), status="failure")
             raise
     return run

@@ -22,8 +22,10 @@ def _revenue_m(column: str = "total_revenue_usd"):
 
 # --- service endpoints ---------------------------------------------------
 
-def summary(kpis: DataFrame, critical: DataFrame, quarantined_rows: DataFrame) -> DataFrame:
-    """Headline figures. ``quarantined_rows`` is any table holding the rejected admissions."""
+def summary(kpis: DataFrame, critical: DataFrame, quarantined_rows: DataFrame,
+            audit: DataFrame | None = None) -> DataFrame:
+    """Headline figures. ``quarantined_rows`` is any table holding the rejected admissions; with
+    the ``audit`` log comes the time of the last step, ``last_run``."""
     per_dept = kpis.groupBy("department").agg(
         F.sum("total_admissions").alias("admissions"),
         numeric.revenue_sum("total_revenue_usd").alias("revenue"),
@@ -37,7 +39,8 @@ def summary(kpis: DataFrame, critical: DataFrame, quarantined_rows: DataFrame) -
     alerts = critical.agg(F.count(F.lit(1)).alias("critical_labs"))
     rejected = quarantined_rows.agg(F.count(F.lit(1)).alias("quarantined"))
     total = F.col("total_admissions") + F.col("quarantined")
-    return side_by_side(totals, alerts, rejected).withColumn(
+    runs = [] if audit is None else [audit.agg(F.max("finished_at").alias("last_run"))]
+    return side_by_side(totals, alerts, rejected, *runs).withColumn(
         "data_quality_pct", numeric.share_pct(F.col("total_admissions"), total, 1))
 
 
@@ -53,10 +56,16 @@ def dept_annual(kpis: DataFrame) -> DataFrame:
         .orderBy(F.desc("total_admissions"), "department"))
 
 
-def monthly_trends(kpis: DataFrame, departments: list[str]) -> DataFrame:
-    """Months by departments. The caller names the columns, so the schema never depends on data
-    and no job runs to discover it."""
-    return (kpis.groupBy("year_month").pivot("department", departments)
+def monthly_trends(kpis: DataFrame) -> DataFrame:
+    """Months by departments, one column for every department in the table.
+
+    The names are read from Gold first, one row per department and month there. Admissions
+    without a department are counted under ``UNKNOWN``.
+    """
+    named = kpis.withColumn("department", F.coalesce("department", F.lit(K.UNKNOWN_DEPARTMENT)))
+    departments = [r[0] for r in named.select("department").distinct().orderBy("department")
+                   .collect()]
+    return (named.groupBy("year_month").pivot("department", departments)
             .agg(F.sum("total_admissions")).na.fill(0).orderBy("year_month"))
 
 

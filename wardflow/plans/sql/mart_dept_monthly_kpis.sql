@@ -20,24 +20,23 @@ by_days AS (
 months AS (
   SELECT department, month_start,
          SUM(n) AS total_admissions,
-         ROUND(CAST(CAST(SUM(n * days) AS DOUBLE) / SUM(n) AS DECIMAL(18,6)), 2) AS avg_los_days,
-         ROUND(CAST(SQRT(try_divide(
+         ROUND(TRY_CAST(CAST(SUM(n * days) AS DOUBLE) / SUM(n) AS DECIMAL(38,6)), 2) AS avg_los_days,
+         ROUND(TRY_CAST(SQRT(try_divide(
              GREATEST(CAST(SUM(n * days * days) AS DOUBLE)
                       - CAST(SUM(n * days) AS DOUBLE) * SUM(n * days) / SUM(n), 0.0D),
-             CAST(SUM(n) - 1 AS DOUBLE))) AS DECIMAL(18,6)), 2) AS stddev_los,
+             CAST(SUM(n) - 1 AS DOUBLE))) AS DECIMAL(38,6)), 2) AS stddev_los,
          MIN(days) AS min_los_days, MAX(days) AS max_los_days,
          percentile(days, 0.5, n) AS median_los_days,
          SUM(readmitted) AS readmission_count,
-         ROUND(CAST(100.0D * SUM(readmitted) / SUM(n) AS DECIMAL(18,6)), 2)
+         ROUND(TRY_CAST(100.0D * SUM(readmitted) / SUM(n) AS DECIMAL(38,6)), 2)
            AS readmission_rate_pct,
          SUM(icu) AS icu_admissions,
-         ROUND(CAST(try_divide(CAST(SUM(procedures) AS DOUBLE), SUM(n_procedures))
-               AS DECIMAL(18,6)), 2) AS avg_procedures,
-         ROUND(CAST(try_divide(CAST(SUM(cost) AS DOUBLE), SUM(n_cost)) AS DECIMAL(18,6)), 2)
+         ROUND(TRY_CAST(try_divide(CAST(SUM(procedures) AS DOUBLE), SUM(n_procedures)) AS DECIMAL(38,6)), 2) AS avg_procedures,
+         ROUND(TRY_CAST(try_divide(CAST(SUM(cost) AS DOUBLE), SUM(n_cost)) AS DECIMAL(38,6)), 2)
            AS avg_cost_usd,
          ROUND(SUM(cost), 2) AS total_revenue_usd,
          ROUND(MIN(min_cost), 2) AS min_cost_usd, ROUND(MAX(max_cost), 2) AS max_cost_usd,
-         ROUND(CAST(try_divide(CAST(SUM(ages) AS DOUBLE), SUM(n_age)) AS DECIMAL(18,6)), 1)
+         ROUND(TRY_CAST(try_divide(CAST(SUM(ages) AS DOUBLE), SUM(n_age)) AS DECIMAL(38,6)), 1)
            AS avg_patient_age
   FROM by_days GROUP BY department, month_start
 ),
@@ -51,9 +50,9 @@ doctors AS (
 ),
 trends AS (
   SELECT m.*, p.unique_patients, d.active_doctors,
-         ROUND(CAST(AVG(m.avg_los_days) OVER three_rows AS DECIMAL(18,6)), 2)
+         ROUND(TRY_CAST(AVG(m.avg_los_days) OVER three_rows AS DECIMAL(38,6)), 2)
            AS rolling_3mo_avg_los,
-         ROUND(CAST(AVG(m.readmission_rate_pct) OVER three_rows AS DECIMAL(18,6)), 2)
+         ROUND(TRY_CAST(AVG(m.readmission_rate_pct) OVER three_rows AS DECIMAL(38,6)), 2)
            AS rolling_3mo_readmission_pct,
          ROUND(CAST(AVG(m.total_revenue_usd) OVER three_rows AS DECIMAL(28,6)), 2)
            AS rolling_3mo_revenue,
@@ -81,8 +80,8 @@ SELECT department, month_start, date_format(month_start, 'yyyy-MM') AS year_mont
        CAST(rolling_3mo_readmission_pct AS DOUBLE) AS rolling_3mo_readmission_pct,
        CAST(rolling_3mo_revenue AS DOUBLE) AS rolling_3mo_revenue,
        prev_month_admissions,
-       CAST(ROUND(CAST(try_divide(100.0D * (total_admissions - prev_month_admissions),
-                                  CAST(prev_month_admissions AS DOUBLE)) AS DECIMAL(18,6)), 1)
+       CAST(ROUND(TRY_CAST(try_divide(100.0D * (total_admissions - prev_month_admissions),
+                                  CAST(prev_month_admissions AS DOUBLE)) AS DECIMAL(38,6)), 1)
             AS DOUBLE) AS mom_admissions_change_pct,
        CASE WHEN readmission_rate_pct > 20 THEN 'CRITICAL'
             WHEN readmission_rate_pct > 15 THEN 'WARNING' ELSE 'OK' END AS readmission_status

@@ -19,32 +19,13 @@ BASE_SETTINGS = {
     # An upper limit: smaller inputs are still split to at least one task per core. At 100 TB it
     # means 200,000 scan tasks instead of 800,000, and shuffle blocks four times as large.
     "spark.sql.files.maxPartitionBytes": "512m",
+    # Shuffles start this wide, and adaptive execution merges what is small: a setting for the
+    # largest stage, set by the deployment (40,000 for 100 TB are 2.5 GB each), not by the data.
+    "spark.sql.shuffle.partitions": "2000",
     # Recording the calling line of every column expression doubles the time to build a query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# Compressed input per shuffle partition, and how far that rule is followed: beyond the maximum,
-# partitions grow and spill rather than break into blocks too small to fetch.
-PARTITION_BYTES = 256 * 1024 * 1024
-MIN_PARTITIONS, MAX_PARTITIONS = 8, 40_000
-
-
-def shuffle_partitions_for(input_bytes: int) -> int:
-    """Shuffle width for a stage that moves the whole input.
-
-    A fixed number is wrong at one end or the other: 200 partitions of 100 TB are 500 GB each,
-    and 40,000 partitions of a test file are all overhead. Adaptive coalescing merges what later
-    stages leave small, so the width follows the largest stage.
-    """
-    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    partitions = shuffle_partitions_for(input_bytes)
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return partitions
-
-
 def build_session(app_name: str, settings: dict[str, str] | None = None,
                   checkpoint_dir: str | None = None) -> SparkSession:
     """Create or reuse the session; ``settings`` wins over the defaults above.

@@ -3,38 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardflow import constants as K
-from wardflow.sources.lake import input_bytes
 
-# A table above SPREAD_FROM but below SPREAD_PER_CORE per core may sit in fewer row groups than
-# there are cores.
-SPREAD_FROM = 1024 * 1024
-SPREAD_PER_CORE = 16 * 1024 * 1024
+MALFORMED = "_malformed_line"
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet, spread over the cores when it is too small to arrive in enough splits.
+def read_csv_lines(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
+    """Headed CSV under a declared schema, empty strings as NULL, with ``_malformed_line``.
 
-    A row group is never split, so one written in a single row group is read, and everything up
-    to the next exchange is computed, by one task. The size limits keep this to inputs that are
-    cheap to move; a table of many splits is read as it lies.
+    Bronze columns are all strings: inferring types would read the input twice and let one odd
+    batch change a column's type. Silver casts. A line with more or fewer fields than the header,
+    whose fields would stand in the wrong columns, keeps its text in ``_malformed_line``; the
+    parser counts fields only while it reads all of them.
     """
-    rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if SPREAD_FROM <= input_bytes(spark, path) < cores * SPREAD_PER_CORE:
-        rows = rows.repartition(cores)
-    return rows
+    return (spark.read.schema(f"{ddl}, {MALFORMED} string").option("header", True)
+            .option("nullValue", "").option("enforceSchema", False)
+            .option("columnPruning", False).option("columnNameOfCorruptRecord", MALFORMED)
+            .csv(path))
 
 
-def read_csv(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
-    """Headed CSV under a declared schema, empty strings as NULL.
+def well_formed(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
-    Bronze columns are all strings: inferring types would read the input twice and let one odd
-    batch change a column's type. Silver casts.
+
+def malformed(lines: DataFrame) -> DataFrame:
+    """The text of the lines that ``well_formed`` leaves out, and their first field.
+
+    Spark answers no query over a CSV file that reads nothing but the text of bad lines.
     """
-    return (spark.read.schema(ddl).option("header", True).option("nullValue", "")
-            .option("enforceSchema", False).csv(path))
+    audit = [c for c in lines.columns if c.startswith("_") and c != MALFORMED]
+    return lines.filter(F.col(MALFORMED).isNotNull()).select(
+        F.col(MALFORMED).alias("raw_line"), F.col(lines.columns[0]).alias("first_field"), *audit)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
+    """The well-formed rows of ``read_csv_lines``."""
+    return well_formed(read_csv_lines(spark, path, ddl))
 
 
 def read_admissions_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow import constants as K
@@ -53,15 +54,45 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, name: str | None
     return writer.trigger(**trigger).start(path)
 
 
+RAW_DDL = "raw_value string, _ingested_at timestamp"
+
+
+def land_messages(messages: DataFrame, root: str, checkpoints: str,
+                  available_now: bool = False) -> StreamingQuery:
+    """Read the topic once and land every message as it came. All else reads what has landed."""
+    raw = messages.select(F.col("value").cast("string").alias("raw_value"))
+    return append_stream(vitals.with_ingest_time(raw), f"{root}/vitals_raw",
+                         f"{checkpoints}/vitals_raw", "vitals_raw", available_now=available_now)
+
+
+def landed_messages(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Landed messages as a stream; before the first has landed, an empty folder is watched."""
+    path = f"{root}/vitals_raw"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    return (spark.readStream.schema(RAW_DDL).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(path).select(F.col("raw_value").alias("value")))
+
+
 def start_vitals(messages: DataFrame, root: str, checkpoints: str, fmt: str = "parquet",
                  available_now: bool = False) -> dict[str, StreamingQuery]:
-    """Start the three queries over one message stream."""
-    parsed = vitals.parse_vitals(messages)
+    """Land the topic, then parse, reject and alert from what has landed.
+
+    One query reads the topic, so there is one set of offsets: every vital sign, dead letter and
+    alert comes from a message that is kept. The other three trail it by one trigger.
+    """
+    spark = messages.sparkSession
+    landing = land_messages(messages, root, checkpoints, available_now)
+    if available_now:
+        landing.awaitTermination()
+    landed = landed_messages(spark, root)
+    parsed = vitals.parse_vitals(landed)
     outputs = {
         "vitals": vitals.with_ingest_time(parsed),
-        "vitals_dead_letters": vitals.with_ingest_time(vitals.dead_letters(messages)),
+        "vitals_dead_letters": vitals.with_ingest_time(vitals.dead_letters(landed)),
         "vitals_alerts": vitals.with_ingest_time(vitals.vitals_alerts(parsed)),
     }
-    return {name: append_stream(rows, f"{root}/{name}", f"{checkpoints}/{name}", name, fmt,
-                                available_now=available_now)
-            for name, rows in outputs.items()}
+    return {"vitals_raw": landing, **{
+        name: append_stream(rows, f"{root}/{name}", f"{checkpoints}/{name}", name, fmt,
+                            available_now=available_now)
+        for name, rows in outputs.items()}}

@@ -24,17 +24,32 @@ def _decoded(messages: DataFrame) -> DataFrame:
                            F.inline(F.array(F.from_json(text, schema, options))))
 
 
+# Fixed value: the accepted form of a message time, with an optional fraction and offset.
+ISO_INSTANT = (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
+               r"(Z|[+-]\d{2}:?\d{2})?\z")
+
+
+def _event_time() -> Column:
+    """The instant of a full ISO time; "12:30" or "noon" name none that could be repeated."""
+    text = F.col("timestamp")
+    return F.when(text.rlike(ISO_INSTANT), F.try_to_timestamp(text))
+
+
 def _usable() -> Column:
-    """Well-formed, every field of its type, and with an identity to land the reading under."""
+    """Well-formed, every field of its type, with an identity to land the reading under, and a
+    time, if any is given, that is one."""
     return (F.col(_CORRUPT).isNull() & F.col("message_id").isNotNull()
-            & F.col("patient_id").isNotNull())
+            & F.col("patient_id").isNotNull()
+            & (F.col("timestamp").isNull() | _event_time().isNotNull()))
 
 
 def parse_vitals(messages: DataFrame) -> DataFrame:
-    """Usable messages of a source with a ``value`` column, flattened and typed."""
+    """Usable messages of a source with a ``value`` column, flattened and typed.
+
+    ``timestamp`` keeps the text a message came with.
+    """
     return (_decoded(messages).filter(_usable())
-            .withColumn("event_ts", F.try_to_timestamp("timestamp"))
-            .drop("timestamp", "raw_value", _CORRUPT))
+            .withColumn("event_ts", _event_time()).drop("raw_value", _CORRUPT))
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
