@@ -10,8 +10,8 @@ from llm_brute import awkward_texts, documents, empty_documents
 from tokenizers import Tokenizer
 
 from wardflow.llm.bpe_codec import BpeParams, Codec, encode_documents
-from wardflow.llm.token_counts import (TokenCountParams, count_long, count_tokens, stable,
-                                       tokenizer_for)
+from wardflow.llm.token_counts import (TokenCountParams, count_long, count_tokens, counter_for,
+                                       stable, tokenizer_for)
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = [*"abehinorst  \n\t'sld.,0123!-éüñÀ中文🙂", "<|endoftext|>", " the", "'re", "      ",
@@ -90,3 +90,17 @@ def test_count_tokens(spark, library):
                    len(ids(library, t or "")) > 100) for i, t in rows)
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in got) == want
     assert count_tokens(empty_documents(spark), TokenCountParams(PATH)).count() == 0
+
+
+def test_counter_equals_library_for_every_character(library):
+    counter = counter_for(open(PATH, encoding="utf-8").read())
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for before, after in (("a", "a"), ("1", " x"), (" ", "!")):
+        texts = ["".join(before + c + after for c in chars[i:i + 256])
+                 for i in range(0, len(chars), 256)]
+        want = [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [counter.count(t) for t in texts] == want
+    pick = random.Random(21)
+    for _ in range(3000):
+        text = "".join(pick.choice(PIECES) for _ in range(pick.randint(0, 60)))
+        assert counter.count(text) == len(ids(library, text))
