@@ -34,14 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wardflow-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder.
 
     Cuts the lineage at a place that survives the loss of an executor, and makes a later join see
-    a plain scan on that side, so that adaptive execution may split a hot key.
+    a plain scan on that side, so that adaptive execution may split a hot key. ``compact`` deals
+    the rows to files of the advisory size first: for narrow tables that would otherwise become
+    one small file for every shuffle partition.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path)
 
 
@@ -49,8 +51,17 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors once, so that Python workers can import it."""
+    """Send this package to the executors once, so that Python workers can import it.
+
+    Batches to the workers are bounded by bytes, not only by rows, since texts may be long; a
+    bound that the session sets itself is left alone.
+    """
+    if spark.sparkContext.getConf().get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     key = spark.sparkContext.applicationId
     if key in _SHIPPED:
         return

@@ -21,11 +21,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """
     if large:
         near = _both_ways(edges)
-        low = written(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "low")
+        low = written(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")),
+                      "low", True)
         out = near.join(low, "a").where("b > a").select("b", "m")
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = written(near.groupBy("a").agg(F.min("b").alias("m")), "low")
+        low = written(near.groupBy("a").agg(F.min("b").alias("m")), "low", True)
         out = near.join(low, "a").select("b", "m").union(low.select(F.col("a").alias("b"), "m"))
     return out.where("b <> m").select(
         F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -46,7 +47,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = written(
         links.select("a", "b").where("a <> b").select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", True)
     before = None
     for _ in range(rounds):
         now = _state(edges)
@@ -57,7 +58,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if now["n"] == now["nodes"] and chained.isEmpty():
             break
         before = tuple(now)
-        edges = written(_star(written(_star(edges, True), "large"), False), "small")
+        edges = written(_star(written(_star(edges, True), "large", True), False), "small", True)
     else:
         raise RuntimeError("components did not converge")
     up = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -47,7 +47,7 @@ class NearDupParams:
     percent: int = 80
     coordinates: int = 128
     bands: int = 32
-    star_rounds: int = 2
+    star_rounds: int = 1
 
 
 def sketch(sets: list[np.ndarray], t: int) -> np.ndarray:
@@ -175,41 +175,42 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
 
     # Classes of equal sets. The empty set links nothing; a null id has no place in a class.
     full = sketched.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = written(full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")),
+                      "classes", True)
     reps = written(full.join(classes.select("h1", "h2", "n", F.col("rep").alias("doc_id")),
                              ["doc_id", "h1", "h2", "n"], "left_semi")
                    .dropDuplicates(["doc_id", "h1", "h2"]).select("doc_id", "n", "bands"), "reps")
     entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), "n")
     shared_keys = entries.groupBy("key").agg(F.count("rep").alias("m")).where("m > 1").select("key")
-    crowded = written(entries.join(written(shared_keys, "keys"), "key"), "buckets")
+    crowded = written(entries.join(written(shared_keys, "keys", True), "key"), "buckets")
 
-    wanted = docs.join(written(crowded.select(F.col("rep").alias("doc_id")).distinct(), "ids"),
+    wanted = docs.join(written(crowded.select(F.col("rep").alias("doc_id")).distinct(), "ids", True),
                        "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = written(wanted.mapInArrow(_set_batches(params.shingle),
                                      "doc_id long, shingles array<long>"), "sets")
 
-    links, tested = written(_same_id_links(full, classes), "same-id"), None
+    links, tested = written(_same_id_links(full, classes), "same-id", True), None
     mixed = crowded.withColumn("component", F.col("rep"))
     for turn in range(params.star_rounds):
         pairs = _star_pairs(mixed, turn).where(_fits(params.percent)).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, sets, params.percent), "verified")
+        pairs = written(pairs, "pairs", True)
+        found = written(_verified(pairs, sets, params.percent), "verified", True)
         tested = pairs if tested is None else tested.union(pairs)
         links = links.union(found)
         if turn == 0 or not found.isEmpty():
-            labels = written(components(links), "components")
+            labels = written(components(links), "components", True)
             mixed = _mixed(crowded, labels)
         if mixed.isEmpty():
             return _labelled(sketched, classes, labels)
     able = _able(mixed, sets, params.percent)
     pairs = _small_pairs(able, reps, params.percent).where(_fits(params.percent))
-    pairs = written(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+    pairs = written(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs", True)
     found = written(_verified(pairs, sets, params.percent).union(
-        _large_links(able, sets, params.percent)), "verified")
+        _large_links(able, sets, params.percent)), "verified", True)
     if not found.isEmpty():
-        labels = written(components(links.union(found)), "components")
+        labels = written(components(links.union(found)), "components", True)
     return _labelled(sketched, classes, labels)
 
 
@@ -217,7 +218,7 @@ def _same_id_links(full: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes in which a repeated doc_id occurs."""
     repeated = written(full.groupBy("doc_id").agg(
         F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("doc_id"),
-        "repeated")
+        "repeated", True)
     place = full.join(repeated, "doc_id", "left_semi").join(classes, ["h1", "h2", "n"])
     return place.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
@@ -228,7 +229,7 @@ def _star_pairs(entries: DataFrame, turn: int) -> DataFrame:
     center = entries.groupBy("key").agg(
         F.min(F.struct(order.alias("o"), F.col("rep"), F.col("n"), F.col("component"))).alias("c"))
     center = written(center.select("key", F.col("c.rep").alias("c_rep"), F.col("c.n").alias("c_n"),
-                                   F.col("c.component").alias("c_component")), "centers")
+                                   F.col("c.component").alias("c_component")), "centers", True)
     return (entries.join(center, "key").where("component <> c_component")
             .select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b"),
                     F.col("n").alias("na"), F.col("c_n").alias("nb")))
@@ -238,17 +239,17 @@ def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """The entries of buckets that still hold classes of more than one component."""
     labelled = written(
         entries.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep")), "labelled")
+        .withColumn("component", F.coalesce("component", "rep")), "labelled", True)
     keys = written(labelled.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        .select("key"), "mixed-keys")
-    return written(labelled.join(keys, "key"), "mixed")
+        .select("key"), "mixed-keys", True)
+    return written(labelled.join(keys, "key"), "mixed", True)
 
 
 def _common_shingles(entries: DataFrame, sets: DataFrame) -> DataFrame:
     """``(rep, u)``: how many shingles of each class some other class of the entries has, too."""
     reps = entries.select(F.col("rep").alias("doc_id")).distinct()
-    members = sets.join(written(reps, "remaining"), "doc_id", "left_semi")
+    members = sets.join(written(reps, "remaining", True), "doc_id", "left_semi")
     alone = (members.select(F.explode("shingles").alias("s"), "doc_id").groupBy("s")
              .agg(F.count("s").alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1")
              .groupBy("doc_id").agg(F.count("s").alias("alone")))
@@ -262,12 +263,12 @@ def _able(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     A class that shares too few of its own shingles with all others together has none.
     """
-    common = written(_common_shingles(entries, sets), "common")
+    common = written(_common_shingles(entries, sets), "common", True)
     able = written(entries.join(common, "rep").where(F.col("u") * 100 >= F.col("n") * percent),
-                   "able")
+                   "able", True)
     sizes = written(able.select("rep", "component").distinct().groupBy("component")
-                    .agg(F.count("rep").alias("size")), "sizes")
-    return written(able.join(sizes, "component"), "sized")
+                    .agg(F.count("rep").alias("size")), "sizes", True)
+    return written(able.join(sizes, "component"), "sized", True)
 
 
 def _small_pairs(able: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -327,15 +328,15 @@ def _large_links(able: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     targets = able.where(F.col("size") >= LARGE).select(
         "key", F.col("component").alias("target"), F.col("size").alias("target_size")).distinct()
-    outside = able.join(written(targets, "targets"), "key").where(
+    outside = able.join(written(targets, "targets", True), "key").where(
         (F.col("size") < F.col("target_size"))
         | ((F.col("size") == F.col("target_size")) & (F.col("component") < F.col("target"))))
     queries = written(outside.where("component <> target").select("target", "rep").distinct(),
-                      "queries")
+                      "queries", True)
     grid = written(queries.groupBy("target").agg(F.count("rep").alias("q")).join(
         able.select(F.col("component").alias("target"), "size").distinct(), "target").select(
         "target", F.ceil(F.col("q") / QUERIES).cast("int").alias("columns"),
-        F.ceil(F.col("size") / MEMBERS).cast("int").alias("rows")), "grid")
+        F.ceil(F.col("size") / MEMBERS).cast("int").alias("rows")), "grid", True)
 
     def cell(n: str):
         return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
@@ -358,7 +359,7 @@ def _large_links(able: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _labelled(sketched: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     final = written(
         classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")), "final")
+        .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")), "final", True)
     rows = sketched.select("doc_id", "n", "h1", "h2").join(final, ["h1", "h2", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("component").isNotNull()
                        & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))

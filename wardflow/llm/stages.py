@@ -21,7 +21,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    gone = written(gone.select("doc_id").where("doc_id IS NOT NULL").distinct(), "gone")
+    gone = written(gone.select("doc_id").where("doc_id IS NOT NULL").distinct(), "gone", True)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
