@@ -47,7 +47,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = written(
         links.select("a", "b").where("a <> b").select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", True)
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+        "links", True)
     before = None
     for _ in range(rounds):
         now = _state(edges)
@@ -62,4 +63,5 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not converge")
     up = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return up.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    centers = edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
+    return up.union(centers.distinct())

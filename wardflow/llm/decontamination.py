@@ -124,7 +124,8 @@ def _neighbours(radius: int) -> list[int]:
 
 def _window_batches(bits_of, lengths: list[int], params: LeakParams):
     """Windows with enough filter hits: document, first word, length, fingerprint, shingles."""
-    def windows_of(bits: np.ndarray, own: np.ndarray, hits: dict[int, np.ndarray], parts: dict[int, np.ndarray]):
+    def windows_of(bits: np.ndarray, own: np.ndarray, hits: dict[int, np.ndarray],
+                   parts: dict[int, np.ndarray]):
         sums = {}
         for length in lengths:
             size = min(params.shingle, length)

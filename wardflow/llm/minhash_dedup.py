@@ -148,7 +148,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
-            .select("a", "b", both.alias("both"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+            .select("a", "b", both.alias("both"),
+                    F.size("sa").alias("na"), F.size("sb").alias("nb"))
             .where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent)
             .select("a", "b"))
 
@@ -184,8 +185,8 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
     shared_keys = entries.groupBy("key").agg(F.count("rep").alias("m")).where("m > 1").select("key")
     crowded = written(entries.join(written(shared_keys, "keys", True), "key"), "buckets")
 
-    wanted = docs.join(written(crowded.select(F.col("rep").alias("doc_id")).distinct(), "ids", True),
-                       "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    members = written(crowded.select(F.col("rep").alias("doc_id")).distinct(), "ids", True)
+    wanted = docs.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = written(wanted.mapInArrow(_set_batches(params.shingle),
                                      "doc_id long, shingles array<long>"), "sets")
 

@@ -39,8 +39,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 PHONE_LOCAL = re.compile(
     r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
-                  r"(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}"
+                  r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora)\.?\x20"
                   r"[A-ZÀ-Þ][a-zß-ÿ]+(?:\x20[A-ZÀ-Þ][a-zß-ÿ]+)?")
 TITLES = (b"Mr", b"Ms", b"Dr", b"Prof", b"Herr", b"Frau", b"Madame", b"Monsieur", b"Se\xc3\xb1or")

@@ -55,7 +55,7 @@ def host_key(host: Column) -> Column:
 
 
 def _after(key: Column) -> Column:
-    """The first key beyond all that begin with ``key``: its last slash becomes the character after it."""
+    """The first key beyond all that begin with ``key``: 0 follows the slash that ends it."""
     return F.concat(F.substring(key, 1, F.length(key) - 1), F.lit("0"))
 
 

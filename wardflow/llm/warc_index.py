@@ -75,8 +75,8 @@ def _line(text: str) -> str:
 def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, date: str) -> bytes:
     """One WARC record: a response with its payload, or a revisit that refers to a response."""
     revisit = refers_to is not None
-    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
-    block = block % len(payload) + (b"" if revisit else payload)
+    block = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+             b"Content-Length: %d\r\n\r\n" % len(payload) + (b"" if revisit else payload))
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
             f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
             f"WARC-Target-URI: {_line(url or 'urn:page:none')}", f"WARC-Date: {date}",
