@@ -51,17 +51,20 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Set where the cluster's configuration does not. Batches to Python are bounded by bytes, not only
+#: by rows, since texts may be long; and small partitions are merged up to the advisory size, so
+#: that the many narrow tables of an iterative operator are few files.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors once, so that Python workers can import it.
-
-    Batches to the workers are bounded by bytes, not only by rows, since texts may be long; a
-    bound that the session sets itself is left alone.
-    """
-    if spark.sparkContext.getConf().get(BATCH_BYTES, None) is None:
-        spark.conf.set(BATCH_BYTES, str(4 << 20))
+    """Send this package to the executors once, so that Python workers can import it."""
+    for name, value in SETTINGS.items():
+        if spark.sparkContext.getConf().get(name, None) is None:
+            spark.conf.set(name, value)
     key = spark.sparkContext.applicationId
     if key in _SHIPPED:
         return
