@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import executed_plan
 from wardflow.operators import gold, patient_dim, quality
+from wardflow.operators.dedup import latest_per_key
 from wardflow.sources.lake import Lake
 
 N = 30_000
@@ -76,6 +77,25 @@ def test_hot_admission_is_split_in_the_critical_labs_join(spark, tables):
     assert "skew=true" in plan
 
 
+def test_hot_admission_is_split_as_composed_with_the_deduplication(spark, tables):
+    """Admissions straight from the deduplication are partitioned by their key already."""
+    kept = latest_per_key(tables["admissions"], ["admission_id"], ["admission_date"])
+    with small_skew(spark):
+        n, plan = executed(gold.critical_labs_watch(tables["labs"], kept))
+    assert n == N
+    assert "skew=true" in plan
+
+
+def test_results_without_an_admission_are_spread(spark, tables):
+    labs = tables["labs"].withColumn("admission_id", F.expr(
+        "IF(admission_id = 'HOT', NULL, admission_id)"))
+    with small_skew(spark), settings(spark, spark__sql__adaptive__enabled="false"):
+        watch = gold.critical_labs_watch(labs, tables["admissions"])
+        sizes = [r["count"] for r in watch.filter("admission_id IS NULL").groupBy(
+            F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == N // 3 and max(sizes) < N // 3 / 8
+
+
 def test_hot_patient_day_is_split_in_the_asof_join(spark, tables):
     facts = tables["facts"]
     with small_skew(spark):
@@ -94,10 +114,11 @@ def test_hot_value_is_spread_over_files(spark, tmp_path):
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB"):
         seen = lake.write_version(rows, "t", "1", ["department"])
     assert seen["rows"] == N
-    hot_files = list((tmp_path / "t" / "_version=1" / "department=ICU").glob("*.parquet"))
-    cold_files = list((tmp_path / "t" / "_version=1" / "department=D1").glob("*.parquet"))
+    folder = tmp_path / "t" / "_version=1" / "_attempt=000001"
+    hot_files = list((folder / "department=ICU").glob("*.parquet"))
+    cold_files = list((folder / "department=D1").glob("*.parquet"))
     assert len(hot_files) > len(cold_files) >= 1
-    assert lake.read("t").count() == N
+    assert lake.read("t", version="1").count() == N
 
 
 def test_uniqueness_check_reduces_before_the_exchange(spark, tables):

@@ -79,6 +79,7 @@ def financial_summary(admissions: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the table and their order are its contract.
 CRITICAL_LAB_COLUMNS = [
     "lab_id", "patient_id", "admission_id", "department", "attending_doctor", "test_name",
     "marker", "result_value", "reference_low", "reference_high", "unit",
@@ -93,11 +94,19 @@ def critical_labs_watch(labs: DataFrame, admissions: DataFrame,
 
     A left join: a result whose admission was quarantined stays, without a department. The
     critical filter and the four admission columns reach the scans. ``as_of`` fixes "now".
+
+    ``_spread`` is 0 on both sides for every admission. Results without one, which match nothing,
+    get many values of it and so many partitions; and because neither input is partitioned by
+    both keys, both are exchanged anew and adaptive execution can split a hot admission.
     """
-    visit = admissions.select("admission_id", "department", "attending_doctor", "admission_date")
+    key = F.col("admission_id")
+    visit = admissions.select("admission_id", "department", "attending_doctor", "admission_date",
+                              F.when(key.isNull(), -1).otherwise(0).alias("_spread"))
+    critical = labs.filter(F.col("is_critical")).withColumn(
+        "_spread", F.when(key.isNull(), F.pmod(F.hash("lab_id", "marker"), F.lit(1024)))
+        .otherwise(0))
     now = F.current_timestamp() if as_of is None else as_of
-    return (labs.filter(F.col("is_critical"))
-            .join(visit, "admission_id", "left")
+    return (critical.join(visit, ["admission_id", "_spread"], "left")
             .select(*CRITICAL_LAB_COLUMNS)
             .withColumn("hours_since_collection", numeric.rounded(
                 numeric.seconds_between(F.col("collected_at"), now) / 3600, 1)))
