@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +49,13 @@ def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path inside it, for a task that reads or writes files of the shared folder."""
+    if "://" in path or path.startswith("file:"):
+        return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+    return pafs.LocalFileSystem(), path
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import textscan
-from wardflow.llm.common import (only, scratch_path, ship_code, slices, text_buffers, written)
+from wardflow.llm.common import (file_system, only, scratch_path, ship_code, slices, text_buffers,
+                                 written)
 
 ORDER = 4
 BITS = 6
@@ -193,8 +194,7 @@ def load_model(path: str, slot: str) -> tuple[np.ndarray, np.ndarray]:
     """A language's arrays from the shared folder; a worker keeps the last few languages."""
     key = (path, slot)
     if key not in _MODELS:
-        where, inner = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
-            else (pafs.LocalFileSystem(), path)
+        where, inner = file_system(path)
         files = [f.path for f in where.get_file_info(pafs.FileSelector(f"{inner}/slot={slot}"))
                  if f.base_name.endswith(".parquet")]
         parts = [pq.ParquetFile(where.open_input_file(f)).read(["hash", "value"]) for f in files]

@@ -3,10 +3,14 @@
 A host is turned round label by label, ``www.example.com`` into ``com/example/www/``, so that a
 rule's host and all its subdomains are one interval of keys: those that begin with the rule's key.
 The ends of all intervals cut the key space into segments, and inside a segment the same nested
-rules are active: the stack of a sorted sweep. Distinct hosts and segment starts are sorted
-together, range-partitioned, and the sweep carries the last stack forward; what a partition
-starts with comes from the last segment start before it. Pages then meet their host's stack, drop
-the rules whose path does not fit, and take the longest of the rest.
+rule hosts are active: the stack of a sorted sweep. Distinct hosts and segment starts are sorted
+together, range-partitioned, and the sweep carries the last stack forward; what a partition starts
+with comes from the last segment start before it.
+
+A stack holds, for each active host, only the lengths that its rules' paths have. A path is cut to
+each of these lengths and looked up among the host's rules by an equi-join, so a host with a great
+many rules is never one row; the longest rule found wins. Pages are judged as distinct (host, path)
+pairs, and meet the result again at the end.
 
 Everything is DataFrame functions. The sweep sees every host once however many pages it has, and
 hosts are spread over range partitions by key, whatever their domain.
@@ -60,15 +64,16 @@ def _after(key: Column) -> Column:
 
 
 def segments(rules: DataFrame) -> DataFrame:
-    """``(key, stack)``: from ``key`` to the next one the rules in ``stack`` are active.
+    """``(key, stack)``: from ``key`` to the next one the rule hosts in ``stack`` are active.
 
-    Rules with the same host share an interval. The rules above a host are those of its own
-    suffixes, so a stack is put together by an equi-join on the suffixes of each boundary key; its
-    depth is at most the number of labels. An interval opens at its key and closes at the key
-    after it, where the stack of the enclosing host goes on.
+    Rules with the same host share an interval. The rule hosts above a host are its own suffixes,
+    so a stack is put together by an equi-join on the suffixes of each boundary key; its depth is
+    at most the number of labels. An interval opens at its key and closes at the key after it,
+    where the stack of the enclosing host goes on.
     """
-    per_host = rules.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(
-        "length", "host_length", "host", "path", "verdict"))).alias("rules"))
+    # At most one entry per length, whatever the number of rules.
+    per_host = rules.groupBy("key").agg(
+        F.sort_array(F.collect_set(F.length("path"))).alias("lengths"))
     opens = rules.select("key", F.col("key").alias("owner")).distinct()
     parent = F.regexp_extract("key", r"(?s)^(.*/)?[^/]*/$", 1)
     closes = opens.select(_after(F.col("key")).alias("key"), parent.alias("owner"))
@@ -79,14 +84,12 @@ def segments(rules: DataFrame) -> DataFrame:
     above = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda n: F.concat(F.array_join(F.slice(labels, 1, n), "/"), F.lit("/")))
-    spread = bounds.select("key", F.explode(above).alias("suffix"))
-    stacks = spread.join(per_host.withColumnRenamed("key", "suffix"), "suffix").groupBy("key").agg(
-        F.flatten(F.collect_list("rules")).alias("stack"))
+    spread = bounds.select("key", F.explode(above).alias("host"))
+    stacks = spread.join(per_host.withColumnRenamed("key", "host"), "host").groupBy("key").agg(
+        F.collect_list(F.struct("host", "lengths")).alias("stack"))
+    nothing = F.array().cast(stacks.schema["stack"].dataType)
     return bounds.select("key").join(stacks, "key", "left").select(
-        "key", F.coalesce("stack", F.filter(F.array(F.struct(
-            F.lit(0).alias("length"), F.lit(0).alias("host_length"), F.lit("").alias("host"),
-            F.lit("").alias("path"), F.lit("").alias("verdict"))),
-            lambda r: F.lit(False))).alias("stack"))
+        "key", F.coalesce("stack", nothing).alias("stack"))
 
 
 def sweep(keys: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -132,14 +135,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     rules = rules.select("*", host_key(F.col("host")).alias("key"),
                          (F.length("host") + F.length("path")).alias("length"),
                          F.length("host").alias("host_length"))
-    hosts = pages.select("key").distinct()
-    stacks = sweep(hosts, written(segments(rules), "segments")).where("size(stack) > 0")
-    met = pages.join(written(stacks, "stacks"), "key", "left")
+    places = pages.select("key", "path").distinct()
+    stacks = sweep(places.select("key").distinct(), written(segments(rules), "segments"))
+    active = places.join(written(stacks.where("size(stack) > 0"), "stacks"), "key").select(
+        "key", "path", F.explode("stack").alias("on"))
+    cuts = active.select("key", "path", F.col("on.host").alias("rule_key"), F.explode(F.filter(
+        "on.lengths", lambda n: n <= F.length("path"))).alias("n"))
+    named = rules.withColumnsRenamed({"key": "rule_key", "path": "prefix"})
     # Structs order by length, then host length, then text; "block" sorts after "allow".
-    best = F.array_max(F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"])))
-    return met.withColumn("best", best).select(
+    best = F.max(F.struct("length", "host_length", "host", "prefix", "verdict")).alias("best")
+    found = (cuts.select("key", "path", "rule_key",
+                         F.substring("path", F.lit(1), F.col("n")).alias("prefix"))
+             .join(named, ["rule_key", "prefix"]).groupBy("key", "path").agg(best))
+    return pages.join(written(found, "found"), ["key", "path"], "left").select(
         "page_id", "host", "path",
-        F.concat(F.col("best.host"), F.col("best.path")).alias("rule"),
+        F.concat(F.col("best.host"), F.col("best.prefix")).alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 

@@ -26,12 +26,11 @@ import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import only, scratch_path, ship_code, written
+from wardflow.llm.common import file_system, only, scratch_path, ship_code, written
 from wardflow.llm.url_rules import host_and_path, sweep
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -61,12 +60,6 @@ def capture_key(url: Column) -> Column:
     return F.regexp_replace(F.concat(turned, F.lit(")"), path, query), r"[^\x21-\x7E]", "%")
 
 
-def _where(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
 def _line(text: str) -> str:
     """A header value on one line."""
     return re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m.group()):02X}", text)
@@ -115,7 +108,7 @@ def _unpacked(raw: bytes) -> bytes:
 
 def _write_batches(path: str, params: WarcParams):
     def run(batches):
-        where, inner = _where(path)
+        where, inner = file_system(path)
         out, name, at = None, "", 0
         for batch in batches:
             rows = {n: [] for n in ("entry", "file", "offset", "length")}
@@ -144,7 +137,7 @@ def _write_batches(path: str, params: WarcParams):
 def _index_batches(path: str, params: WarcParams):
     """Sorted captures of one shard in, one row about the shard out."""
     def run(batches):
-        where, inner = _where(path)
+        where, inner = file_system(path)
         out, name, at, waiting, directory, last = None, "", 0, [], [], ""
 
         def flush():
@@ -213,7 +206,7 @@ def write_archive(pages: DataFrame, params: WarcParams = WarcParams()) -> Archiv
         "digest", refers_to.alias("refers_to"))
     path, index = scratch_path(spark, "warc"), scratch_path(spark, "cdx")
     for folder in (path, index):
-        where, inner = _where(folder)
+        where, inner = file_system(folder)
         where.create_dir(inner, recursive=True)
     captures = written(records.mapInArrow(
         _write_batches(path, params), "entry string, file string, offset long, length long"),
@@ -229,8 +222,8 @@ class Reader:
     """Searches of one task: directories, blocks and archive files opened once each."""
 
     def __init__(self, path: str, index: str):
-        self.where, self.path = _where(path)
-        self.index_where, self.index = _where(index)
+        self.where, self.path = file_system(path)
+        self.index_where, self.index = file_system(index)
         self.directory: tuple[str, list, list] = ("", [], [])
         self.block: tuple[tuple, list] = ((), [])
         self.file: tuple[str, object] = ("", None)
