@@ -11,7 +11,7 @@ import pytest
 from conftest import ROOT
 from verification.compare import differences
 from verification.oracles import ORACLES
-from verification.queries import QUERIES
+from verification.queries import QUERIES, Layers
 
 import __spark_entry__
 
@@ -50,3 +50,17 @@ def test_everything_else_works_without_the_training_text_package():
             "names = set(entry.queries()); assert 'silver_labs' in names; "
             "assert set(entry.oracle_sql()) == names and 'pipeline' not in names")
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_operators_keep_real_types(spark, small):
+    """Registered queries render dates and decimals as text; the operators do not."""
+    layers = Layers(spark, small)
+    silver, history = dict(layers.valid.dtypes), dict(layers.insurer_history.dtypes)
+    assert silver["admission_date"] == silver["discharge_date"] == "date"
+    assert silver["total_cost_usd"] == "decimal(18,4)" and silver["readmission"] == "boolean"
+    assert silver["age"] == silver["num_procedures"] == silver["admission_year"] == "int"
+    assert dict(layers.valid_labs.dtypes)["collected_at"] == "timestamp"
+    assert history["valid_from"] == history["last_admission_date"] == "date"
+    assert history["total_admissions"] == "bigint" and history["is_current"] == "boolean"
+    assert dict(layers.parsed_vitals.dtypes)["event_ts"] == "timestamp"
+    assert dict(layers.critical.dtypes)["admission_date"] == "date"
