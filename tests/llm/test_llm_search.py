@@ -117,7 +117,10 @@ def test_held_out_accuracy_and_no_use_of_held_out_labels(spark):
 
 
 def test_toxicity_of_awkward_rows(spark):
-    rows = awkward_texts() + [(i, f"fine text {i} " + ("badword " if i % 3 == 0 else "nice"))
+    pick = random.Random(7)  # texts that differ in more than the label's word, or they count once
+    said = [" ".join("".join(pick.choice("abcdefgh") for _ in range(5)) for _ in range(8))
+            for _ in range(400)]
+    rows = awkward_texts() + [(i, said[i] + (" badword" if i % 3 == 0 else " nice"))
                               for i in range(100, 400)]
     labels = spark.createDataFrame(
         [(i, int(i % 3 == 0), "?") for i in range(100, 400)] + [(None, 1, "?"), (3, None, "?"),

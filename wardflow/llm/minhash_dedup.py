@@ -12,10 +12,10 @@ Banding: ``bands`` of t / bands coordinates. A pair at similarity s shares a ban
 
 Candidates: documents with equal shingle sets are one class. Every band bucket first links its
 classes to one of them (a star), verified on whole sets. Then only buckets that still hold
-classes of different components matter; the star is repeated there around other centers. What is
-left is checked without a cap on partners: pairs between small components one by one, and classes
-outside a large component against that component in blocks, so that a large group of near copies
-is never expanded into pairs. A proven bound thins this out: only shingles that two or more of the
+classes of different components matter; with ``star_rounds`` above 1 the star is repeated there
+around other centers. What is left is checked without a cap on partners: pairs between small
+components one by one, and classes outside a large component against that component in blocks, so
+that a large group of near copies is never expanded into pairs. A proven bound thins this out: only shingles that two or more of the
 remaining classes have can be common to a pair, so with u and v of those in sets of sizes a and b
 the similarity is at most m / (a + b - m) for m = min(u, v).
 """
