@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and a battery of randomness tests under false-discovery control.
 
-Every run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that is not all digits and not inside
-a pattern match is a candidate. Its encoding is the smallest of hex, base32, lower case, letters
-and digits, and base64 alphabets that holds it, without padding. The battery then asks whether the
-symbols could be drawn at random from that alphabet:
+Runs of ``[A-Za-z0-9+/_=-]`` are cut at every ``=`` inside them; a part that holds symbols of both
+base64 alphabets, so that no alphabet holds all of it, is cut into its maximal pieces of each
+alphabet, which may overlap. Every piece of 20 or more characters that is not all digits and does
+not touch a pattern match is a candidate. Its encoding is the smallest of hex, base32, lower case,
+letters and digits, and base64 alphabets that holds it, without padding. The battery then asks
+whether the symbols could be drawn at random from that alphabet:
 
 * chi-squared uniformity over bins of equal width, as many as the length can fill;
 * Wald-Wolfowitz runs about the middle of the alphabet;
@@ -40,6 +42,9 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+PART = re.compile(r"[^=]+")
+#: What a part that no alphabet holds is cut into.
+PIECES = [re.compile(r"[A-Za-z0-9+/]+"), re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"[A-Za-z0-9]+")]
 KEYWORDS = (b"passw", b"secret", b"token", b"api")
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -114,6 +119,16 @@ def infer_encoding(run: str) -> tuple[str, str] | None:
     return next((a for a in ALPHABETS if symbols <= set(a[1])), None)
 
 
+def pieces(run: str) -> list[tuple[int, int]]:
+    """Begin and end of the pieces of a run that an alphabet holds; padding goes with the last."""
+    body, out = run.rstrip("="), set()
+    for part in PART.finditer(body):
+        cuts = [part] if infer_encoding(part.group()) else [
+            piece for kind in PIECES for piece in kind.finditer(body, *part.span())]
+        out |= {(c.start(), len(run) if c.end() == len(body) else c.end()) for c in cuts}
+    return sorted(out)
+
+
 def battery(run: str, alphabet: str) -> float:
     """Bonferroni-combined p that the run is uniform and independent over the alphabet."""
     k, n = len(alphabet), len(run)
@@ -214,13 +229,18 @@ class Scanner:
         spans = base_spans(text, self.params)
         candidates = []
         for m in RUN.finditer(text):
-            start, end = m.span()
-            if end - start < self.params.min_run or any(s < end and start < e for s, _, e in spans):
+            if m.end() - m.start() < self.params.min_run:
                 continue
-            found = self.battery.judge(m.group())
-            if found:
-                size = len(m.group().rstrip("="))
-                candidates.append((start, 3, end, _level_of(size), found[2], found[1], found[0]))
+            for a, b in pieces(m.group()):
+                start, end = m.start() + a, m.start() + b
+                if end - start < self.params.min_run \
+                        or any(s < end and start < e for s, _, e in spans):
+                    continue
+                found = self.battery.judge(text[start:end])
+                if found:
+                    size = len(text[start:end].rstrip("="))
+                    candidates.append(
+                        (start, 3, end, _level_of(size), found[2], found[1], found[0]))
         return spans, candidates
 
     def touched(self, data: np.ndarray, offsets: np.ndarray):
@@ -234,8 +254,15 @@ class Scanner:
             yield int(d), raw[offsets[d]:offsets[d + 1]].decode("utf-8")
 
     def random_spans(self, candidates: list[tuple], limit: dict[int, int]) -> list[tuple]:
-        return [c for c in candidates if c[5] >= self.params.consistent
-                and c[4] >= limit.get(c[3], DECADES * PER_DECADE + 1)]
+        """The candidates that are discoveries, but for those inside another one."""
+        found = [c for c in candidates if c[5] >= self.params.consistent
+                 and c[4] >= limit.get(c[3], DECADES * PER_DECADE + 1)]
+        out, upto = [], 0
+        for c in sorted(found, key=lambda c: (c[0], -c[2])):
+            if c[2] > upto:
+                out.append(c)
+                upto = c[2]
+        return out
 
 
 def _said(spans: list[tuple]) -> str:
@@ -362,11 +389,12 @@ def find_secrets(docs: DataFrame, params: SecretParams = SecretParams()) -> Data
 
     Returns ``doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans`` and ``found``, the
     spans as an array of (start, kind, end, encoding). Positions are code points, ends exclusive;
-    a span is a whole pattern match, or a whole random run.
+    a span is a whole pattern match, or a whole random run or piece of one. Of two random pieces
+    one of which holds the other, the larger is reported.
 
     Null or empty text: nothing found. Null doc_id: returned as such. Repeated rows: returned
     each, and each counts in the false-discovery control. An empty table gives an empty result;
-    extra columns are ignored. A random run that touches a pattern match is not reported again.
+    extra columns are ignored. A random piece that touches a pattern match is not reported again.
     """
     ship_code(docs.sparkSession)
     docs = only(docs, doc_id="long", text="string")
