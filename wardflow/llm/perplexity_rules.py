@@ -9,14 +9,23 @@ tens of thousands are usual. The model is written to the shared folder as one so
 64-bit hashes per language, with fixed-point log probabilities and back-off weights, and looked
 up by binary search. Fixed point makes the sum of a document independent of batching.
 
-Verdict: the mean negative log probability of a byte is compared with the median of the
-document's language. The allowed distances below and above are ``lower_width`` and
+That model is small and folded. A second one, of order 5 over the bytes as they are, has no such
+bound: its 5-grams grow with the corpus. All its steps are Spark aggregates and joins over rows of
+distinct n-grams, level by level, and no language is one group. Every document is part of the
+corpus, so each of its 5-grams is in the table and only their probabilities are needed. They are
+written in ranges of 64-bit hashes; a task gathers the distinct hashes of some megabytes of text
+and reads the ranges one after the other, so that no worker holds more than one range and the
+values of its own text.
+
+Verdict: under both models, the mean negative log probability of a byte is compared with the
+median of the document's language. The allowed distances below and above are ``lower_width`` and
 ``upper_width`` median absolute deviations, wider for short texts, whose means vary more.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,6 +49,10 @@ SYMBOLS = b"#*$%&|<>"
 #: Entries a counting task gathers before it hands them on; counts add up, so this is no cap.
 FLUSH = 4_000_000
 MODELS_KEPT = 8
+#: The model of bytes as they are: its order, rows of a hash range, and text looked up at a time.
+LONG = 5
+RANGE_ROWS = 1_000_000
+GROUP_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -79,7 +92,23 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _count_batches(batches):
+def long_ids(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The unfolded 5-gram that ends at each byte; documents begin with line ends."""
+    now = data.astype(np.uint64)
+    out = now.copy()
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    for back in range(1, LONG):
+        before = np.full(len(now), 10, np.uint64)
+        before[back:] = now[:-back]
+        for j in range(back):
+            place = begins + j
+            before[place[place < len(now)]] = 10
+        out |= before << np.uint64(8 * back)
+    return out
+
+
+def _count_batches(batches, grams=gram_ids, width: int = BITS * ORDER):
+    """Rows of (slot, gram, c): how often each gram of ``width`` bits occurs, of one task."""
     codes: dict[str, int] = {}
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     waiting: list[np.ndarray] = []
@@ -97,8 +126,8 @@ def _count_batches(batches):
         for a in range(0, len(k), 200_000):
             part = k[a:a + 200_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[(part >> np.uint64(24)).astype(np.int64)], pa.string()),
-                 pa.array((part & np.uint64(0xFFFFFF)).astype(np.int32)),
+                [pa.array(names[(part >> np.uint64(width)).astype(np.int64)], pa.string()),
+                 pa.array((part & np.uint64((1 << width) - 1)).astype(np.int64)),
                  pa.array(c[a:a + 200_000])], ["slot", "gram", "c"])
 
     for batch in batches:
@@ -107,14 +136,14 @@ def _count_batches(batches):
         for a, b in slices(offsets):
             part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
             code = np.array([codes.setdefault(s, len(codes)) for s in slots[a:b]], np.uint64)
-            ids = gram_ids(part, off)
+            ids = grams(part, off)
             for one in np.unique(code):
                 mine = ids if (code == one).all() else ids[np.repeat(code == one, np.diff(off))]
                 mine = np.sort(mine)
                 if not len(mine):
                     continue
                 first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
-                waiting.append((mine[first].astype(np.uint64) | one << np.uint64(24),
+                waiting.append((mine[first].astype(np.uint64) | one << np.uint64(width),
                                 np.diff(np.append(first, len(mine)))))
             if sum(len(w[0]) for w in waiting) > 1_000_000:
                 keys, counts = merged()
@@ -178,7 +207,7 @@ def _build(frame: pd.DataFrame) -> pd.DataFrame:
 def build_model(docs: DataFrame) -> str:
     """Count the 4-grams of ``docs(slot, text)``; returns the folder of the written model."""
     counts = docs.select("slot", "text").mapInArrow(
-        _count_batches, "slot string, gram int, c long")
+        _count_batches, "slot string, gram long, c long")
     totals = counts.groupBy("slot", "gram").agg(F.sum("c").alias("c"))
     path = scratch_path(docs.sparkSession, "kneser-ney")
     # One group is one language's grams, at most 63^4 of them whatever the corpus.
@@ -187,6 +216,106 @@ def build_model(docs: DataFrame) -> str:
     return path
 
 
+def _count_long(batches):
+    yield from _count_batches(batches, long_ids, 8 * LONG)
+
+
+def _suffix(n: int):
+    return F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("long"))
+
+
+def _discounts(level: DataFrame) -> DataFrame:
+    """Per language, what is taken off counts of 1, 2, and 3 or more; from the counts of counts."""
+    n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+
+    def step(i: int, default: float):
+        here, above = F.col(f"n{i}"), F.col(f"n{i + 1}")
+        raw = F.when((here > 0) & (above > 0),
+                     i - (i + 1) * F.coalesce(F.when((F.col("n1") > 0) & (F.col("n2") > 0), y),
+                                              F.lit(0.5)) * above / here).otherwise(default)
+        return F.least(F.greatest(raw, F.lit(0.05)), F.lit(i - 0.05)).alias(f"d{i}")
+
+    return level.groupBy("slot").agg(*n).select(
+        "slot", step(1, 0.5), step(2, 1.0), step(3, 1.5))
+
+
+def long_probabilities(docs: DataFrame) -> DataFrame:
+    """``(slot, gram, p)`` of a modified Kneser-Ney model, for every 5-gram of the documents."""
+    counts = docs.select("slot", "text").mapInArrow(_count_long, "slot string, gram long, c long")
+    levels = {LONG: written(counts.groupBy("slot", "gram").agg(F.sum("c").alias("c")),
+                            "grams", True)}
+    for n in range(LONG - 1, 0, -1):
+        levels[n] = written(levels[n + 1].select("slot", _suffix(n).alias("gram")).groupBy(
+            "slot", "gram").agg(F.count("gram").alias("c")), "grams", True)
+    # What is broadcast here and below has one row per language.
+    totals = levels[1].groupBy("slot").agg(F.sum("c").alias("total"))
+    lower = levels[1].join(F.broadcast(totals), "slot").select(
+        "slot", "gram", (F.lit(0.01 / 256) + F.lit(0.99) * F.col("c") / F.col("total")).alias("p"))
+    for n in range(2, LONG + 1):
+        off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(
+            F.col("d3"))
+        rows = levels[n].join(F.broadcast(_discounts(levels[n])), "slot").select(
+            "slot", "gram", "c", off.alias("off"), F.shiftright("gram", 8).alias("context"),
+            _suffix(n - 1).alias("suffix"))
+        # Exact sums whatever the order of the rows: a discount is one of three values.
+        contexts = rows.groupBy("slot", "context").agg(
+            F.sum("c").alias("total"),
+            F.sum(F.col("off").cast("decimal(20,12)")).cast("double").alias("taken"))
+        lower = written(rows.join(contexts, ["slot", "context"]).join(
+            lower.select("slot", F.col("gram").alias("suffix"), F.col("p").alias("below")),
+            ["slot", "suffix"]).select(
+            "slot", "gram", ((F.col("c") - F.col("off") + F.col("taken") * F.col("below"))
+                             / F.col("total")).alias("p")), "probabilities", True)
+    return lower
+
+
+def _hashed_batches(batches):
+    for batch in batches:
+        slots = np.array([int(s, 16) for s in batch.column(0).to_pylist()], np.uint64)
+        keys = long_keys(batch.column(1).to_numpy().astype(np.uint64), slots)
+        values = np.rint(np.log(batch.column(2).to_numpy()) * FIXED).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values)], ["hash", "value"])
+
+
+def long_keys(ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """One hash for a 5-gram and its language; distinct for the 5-grams of a language."""
+    return textscan.mix(ids + slots, 7).view(np.int64)
+
+
+def build_long_model(docs: DataFrame) -> str:
+    """The folder with the log probabilities of all 5-grams, in files that are hash ranges."""
+    probabilities = long_probabilities(docs)
+    ranges = 1 + probabilities.count() // RANGE_ROWS
+    path = scratch_path(docs.sparkSession, "long-model")
+    probabilities.mapInArrow(_hashed_batches, "hash long, value int") \
+        .repartitionByRange(ranges, "hash").sortWithinPartitions("hash").write.parquet(path)
+    return path
+
+
+def look_up(path: str, wanted: np.ndarray) -> np.ndarray:
+    """The values of sorted distinct hashes, from one range after the other."""
+    out = np.zeros(len(wanted), np.int64)
+    seen = 0
+    where, inner = file_system(path)
+    for f in where.get_file_info(pafs.FileSelector(inner)) if len(wanted) else []:
+        if not f.base_name.endswith(".parquet"):
+            continue
+        part = pq.ParquetFile(where.open_input_file(f.path)).read(["hash", "value"])
+        hashes = part["hash"].to_numpy()
+        if not len(hashes):
+            continue
+        a, b = np.searchsorted(wanted, [hashes[0], hashes[-1]])
+        b += b < len(wanted) and wanted[b] == hashes[-1]
+        place = np.searchsorted(hashes, wanted[a:b])
+        hit = hashes[place] == wanted[a:b]
+        out[a:b][hit] = part["value"].to_numpy()[place[hit]]
+        seen += int(hit.sum())
+    if seen != len(wanted):
+        raise ValueError(f"{len(wanted) - seen} n-grams are missing: the documents changed")
+    return out
+
+
 _MODELS: OrderedDict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = OrderedDict()
 
 
@@ -285,25 +414,59 @@ def base_features(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _score_batches(path: str):
+def _groups(batches) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of whole batches with about GROUP_BYTES of text."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(2).nbytes
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _parts(group: list[pa.RecordBatch]):
+    """The slices of a group: document ids, languages, bytes and offsets."""
+    for batch in group:
+        slots = np.array(batch.column(1).to_pylist(), dtype=object)
+        data, offsets = text_buffers(batch.column(2))
+        for a, b in slices(offsets):
+            yield (batch.column(0).slice(a, b - a), slots[a:b], data[offsets[a]:offsets[b]],
+                   offsets[a:b + 1] - offsets[a])
+
+
+def _score_batches(path: str, long_path: str):
+    def long_values(group):
+        """The distinct 5-grams' values, and the place of each byte's among them by slice."""
+        found, places = [], []
+        for _, slots, part, off in _parts(group):
+            codes = np.array([int(s, 16) for s in slots], np.uint64)
+            keys, place = np.unique(long_keys(long_ids(part, off), np.repeat(codes, np.diff(off))),
+                                    return_inverse=True)
+            found.append(keys)
+            places.append(place.astype(np.int32))
+        wanted = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        values = look_up(long_path, wanted)
+        for keys, place in zip(found, places):
+            yield values[np.searchsorted(wanted, keys)][place]
+
     def run(batches):
-        for batch in batches:
-            ids, slots = batch.column(0), np.array(batch.column(1).to_pylist(), dtype=object)
-            data, offsets = text_buffers(batch.column(2))
-            for a, b in slices(offsets):
-                part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+        for group in _groups(batches):
+            for (ids, slots, part, off), long_lp in zip(_parts(group), long_values(group)):
                 features = base_features(part, off)
                 grams = gram_ids(part, off)
                 lp = np.zeros(len(grams), np.int64)
-                for slot in set(slots[a:b]):
-                    mine = np.repeat(slots[a:b] == slot, np.diff(off))
+                for slot in set(slots):
+                    mine = np.repeat(slots == slot, np.diff(off))
                     if mine.any():
                         lp[mine] = log_probabilities(load_model(path, slot), grams[mine])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(slots[a:b], pa.string()),
-                     *[pa.array(features[f]) for f in FEATURES],
-                     pa.array(_sums(lp, off)), pa.array(np.diff(off))],
-                    ["doc_id", "slot", *FEATURES, "lp", "n_bytes"])
+                    [ids, pa.array(slots, pa.string()), *[pa.array(features[f]) for f in FEATURES],
+                     pa.array(_sums(lp, off)), pa.array(_sums(long_lp, off)),
+                     pa.array(np.diff(off))],
+                    ["doc_id", "slot", *FEATURES, "lp", "long_lp", "n_bytes"])
     return run
 
 
@@ -319,12 +482,31 @@ def _middle(rows: DataFrame, value, name: str) -> DataFrame:
         (F.min("bin") / F.lit(float(BINS))).alias(name))
 
 
+def _banded(scored: DataFrame, lp: str, prefix: str, params: QualityParams) -> DataFrame:
+    """``scored`` with the mean of ``lp`` and its language's limits, named with ``prefix``."""
+    size = F.nullif(F.col("n_bytes"), F.lit(0))  # no text, no mean and no band
+    mean = -F.col(lp) / F.lit(float(FIXED)) / size
+    shrink = F.sqrt(size / (size + F.lit(float(params.short))))
+    some = scored.where("n_bytes > 0").select("slot", "n_bytes", mean.alias("mean"))
+    center = _middle(some, F.col("mean"), "center")
+    spread = _middle(some.join(center, "slot"),
+                     F.abs(F.col("mean") - F.col("center")) * shrink, "spread")
+    bands = written(center.join(spread, "slot").select(
+        "slot", "center", F.greatest("spread", F.lit(1.0 / BINS)).alias("spread")), "bands")
+    lower = F.col("center") - F.lit(params.lower_width) * F.col("spread") / shrink
+    upper = F.col("center") + F.lit(params.upper_width) * F.col("spread") / shrink
+    return scored.join(bands, "slot", "left").withColumns({
+        f"{prefix}mean": mean, f"{prefix}lower": lower, f"{prefix}upper": upper}
+    ).drop("center", "spread")
+
+
 def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """The base counts and the verdict for every row of ``docs(doc_id, text, lang)``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_percent`` percent
     of the words inside 3-word windows found twice or more. ``kept`` is false if that failed or
-    the perplexity is outside the band of the document's language. ``perplexity`` is per byte.
+    the perplexity is outside the band of the document's language, under either model.
+    ``perplexity`` and ``long_perplexity`` are per byte.
 
     Null or empty text: all counts 0, perplexity null, base_failed, not kept. Null language: a
     language of its own. Every row is returned, repeated ones too; an empty table gives an empty
@@ -336,27 +518,19 @@ def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> D
     docs = only(docs, doc_id="long", text="string", lang="string")
     slot = F.lower(F.hex(F.xxhash64(F.coalesce("lang", F.lit("\u0000")))))
     docs = docs.select("doc_id", slot.alias("slot"), "text")
-    path = build_model(docs)
     scored = written(docs.mapInArrow(
-        _score_batches(path), "doc_id long, slot string, n_words long, word_chars long, "
-        "n_symbols long, n_dup_lines long, n_repeat_words long, lp long, n_bytes long"), "scored")
-    size = F.nullif(F.col("n_bytes"), F.lit(0))  # no text, no mean and no band
-    mean = -F.col("lp") / F.lit(float(FIXED)) / size
-    shrink = F.sqrt(size / (size + F.lit(float(params.short))))
-    some = scored.where("n_bytes > 0").select("slot", "n_bytes", mean.alias("mean"))
-    center = _middle(some, F.col("mean"), "center")
-    spread = _middle(some.join(center, "slot"),
-                     F.abs(F.col("mean") - F.col("center")) * shrink, "spread")
-    bands = written(center.join(spread, "slot").select(
-        "slot", "center", F.greatest("spread", F.lit(1.0 / BINS)).alias("spread")), "bands")
-    lower = F.col("center") - F.lit(params.lower_width) * F.col("spread") / shrink
-    upper = F.col("center") + F.lit(params.upper_width) * F.col("spread") / shrink
+        _score_batches(build_model(docs), build_long_model(docs)),
+        "doc_id long, slot string, n_words long, word_chars long, n_symbols long, "
+        "n_dup_lines long, n_repeat_words long, lp long, long_lp long, n_bytes long"), "scored")
+    rows = _banded(_banded(scored, "lp", "", params), "long_lp", "long_", params)
     base_failed = (F.col("n_words") < params.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * params.max_repeat_percent)
-    inside = F.col("mean").between(lower, upper)
-    rows = scored.withColumn("mean", mean).join(bands, "slot", "left")
+    inside = F.col("mean").between(F.col("lower"), F.col("upper")) & F.col("long_mean").between(
+        F.col("long_lower"), F.col("long_upper"))
     return rows.select(
         "doc_id", *FEATURES, base_failed.alias("base_failed"),
         (~base_failed & F.coalesce(inside, F.lit(False))).alias("kept"),
         F.exp("mean").alias("perplexity"),
-        F.exp(lower).alias("lower_band"), F.exp(upper).alias("upper_band"))
+        F.exp("lower").alias("lower_band"), F.exp("upper").alias("upper_band"),
+        F.exp("long_mean").alias("long_perplexity"),
+        F.exp("long_lower").alias("long_lower_band"), F.exp("long_upper").alias("long_upper_band"))
