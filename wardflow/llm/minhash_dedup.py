@@ -250,13 +250,17 @@ def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
 def _common_shingles(entries: DataFrame, sets: DataFrame) -> DataFrame:
     """``(rep, u)``: how many shingles of each class some other class of the entries has, too."""
     reps = entries.select(F.col("rep").alias("doc_id")).distinct()
-    members = sets.join(written(reps, "remaining", True), "doc_id", "left_semi")
-    alone = (members.select(F.explode("shingles").alias("s"), "doc_id").groupBy("s")
-             .agg(F.count("s").alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1")
-             .groupBy("doc_id").agg(F.count("s").alias("alone")))
-    size = members.groupBy("doc_id").agg(F.max(F.size("shingles")).alias("size"))
-    return size.join(alone, "doc_id", "left").select(
-        F.col("doc_id").alias("rep"), (F.col("size") - F.coalesce("alone", F.lit(0))).alias("u"))
+    # A repeated doc_id may have several texts; each counts by itself, and the largest bounds all.
+    members = sets.join(written(reps, "remaining", True), "doc_id", "left_semi").withColumn(
+        "text", F.xxhash64("shingles"))
+    alone = (members.select(F.explode("shingles").alias("s"), "doc_id", "text").groupBy("s")
+             .agg(F.count("s").alias("df"), F.min("doc_id").alias("doc_id"),
+                  F.min("text").alias("text")).where("df = 1")
+             .groupBy("doc_id", "text").agg(F.count("s").alias("alone")))
+    size = members.groupBy("doc_id", "text").agg(F.max(F.size("shingles")).alias("size"))
+    shared = F.col("size") - F.coalesce("alone", F.lit(0))
+    return size.join(alone, ["doc_id", "text"], "left").groupBy(
+        F.col("doc_id").alias("rep")).agg(F.max(shared).alias("u"))
 
 
 def _able(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
