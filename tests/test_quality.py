@@ -25,8 +25,8 @@ def test_summary_counts_duplicates_and_rejects(spark):
                        {"admission_id": "A3", "patient_id": None, "insurance_id": None})
     got = quality.dq_summary(twice, flagged_admissions(twice)).first().asDict()
     assert got == {"bronze_rows": 4, "null_patient_ids": 1, "null_insurance_ids": 1,
-                   "deduplicated_rows": 3, "valid_rows": 2, "quarantined_rows": 1,
-                   "duplicates_removed": 1, "valid_pct": 50.0, "quarantined_pct": 25.0}
+                   "deduplicated_rows": 3, "valid_rows": 1, "quarantined_rows": 2,
+                   "duplicates_removed": 1, "valid_pct": 25.0, "quarantined_pct": 50.0}
 
 
 def test_breakdown_is_ordered(spark):

@@ -75,6 +75,29 @@ def admission_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def corrected_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries whose survivors are ``admissions``.
+
+    The first lacks a fifth of the rows and has a seventh under a wrong department and day. The
+    second brings those, and, late, older versions of an eleventh that must not win.
+    """
+    rows = admissions(spark, sf_dir)
+    n = F.col("admission_id")
+    wrong, missing = n % 7 == 0, n % 5 == 0
+
+    def brought(part: DataFrame, day: str, batch: str) -> DataFrame:
+        return part.withColumns({"_ingested_at": F.lit(f"{day} 00:00:00").cast("timestamp"),
+                                 "_batch_id": F.lit(batch)})
+
+    first = rows.filter(~missing).withColumns({
+        "department": F.when(wrong, F.lit(" elsewhere")).otherwise(F.col("department")),
+        "admission_date": F.when(wrong, F.lit("1990-01-01")).otherwise(F.col("admission_date"))})
+    older = rows.filter((n % 11 == 0) & ~wrong & ~missing).withColumn("num_procedures", F.lit("77"))
+    return brought(first, "2024-01-01", "1"), brought(
+        rows.filter(wrong | missing), "2024-01-02", "2").unionByName(
+        brought(older, "2023-01-01", "2"))
+
+
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

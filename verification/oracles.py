@@ -430,6 +430,7 @@ _FINALS = {
     "dedup_labs": _raw_lab("lab_id, marker"),
     "dedup_labs_compat": _raw_lab("lab_id"),
     "silver_admissions": f"SELECT {_SILVER} FROM valid",
+    "silver_incremental": f"SELECT {_SILVER} FROM valid",
     "silver_labs": f"SELECT {_LABS} FROM lab_valid",
     "stg_admissions": f"SELECT {_SILVER} FROM valid",
     # quality
@@ -488,6 +489,7 @@ _FINALS = {
         COALESCE(DATE '2005-01-01' - MAX(admission_month) <= 3650, FALSE) AS is_fresh FROM los""",
     # gold and summaries
     "dept_monthly_kpis": "SELECT * FROM kpis",
+    "kpis_from_state": "SELECT * FROM kpis",
     "readmission_analysis": "SELECT * FROM readmit",
     "financial_summary": "SELECT * FROM fin",
     "critical_labs_watch": f"""SELECT * REPLACE ({_ts("collected_at")} AS collected_at,
@@ -532,6 +534,29 @@ _FINALS = {
       FROM ({_snapshot("facts")})""",
     "scd2_merge": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
         {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history""",
+    "scd2_missing_ids": f"""SELECT * FROM (WITH own AS (
+        SELECT * REPLACE (CASE WHEN patient_id % 10 <> 0 THEN patient_id END AS patient_id)
+        FROM facts
+      ), days AS (
+        SELECT patient_id, admission_date AS day,
+          ARG_MAX(insurer_name, admission_id) AS insurer_name, COUNT(*) AS n
+        FROM own GROUP BY patient_id, admission_date
+      ), runs AS (
+        SELECT *, SUM(CASE WHEN prev IS NULL OR prev <> insurer_name THEN 1 ELSE 0 END)
+            OVER (PARTITION BY patient_id ORDER BY day) AS island
+        FROM (SELECT *, LAG(insurer_name) OVER (PARTITION BY patient_id ORDER BY day) AS prev
+              FROM days)
+      ), spans AS (
+        SELECT patient_id, island, MIN(insurer_name) AS insurer_name, MIN(day) AS valid_from,
+          MAX(day) AS last_admission_date, SUM(n) AS n FROM runs GROUP BY patient_id, island
+      )
+      SELECT patient_id, insurer_name,
+        {_big("SUM(n) OVER (PARTITION BY patient_id ORDER BY island)")} AS total_admissions,
+        {_day("last_admission_date")} AS last_admission_date, {_day("valid_from")} AS valid_from,
+        {_day("COALESCE(CAST(LEAD(valid_from) OVER w - INTERVAL 1 DAY AS DATE), DATE '9999-12-31')")}
+          AS valid_to,
+        LEAD(valid_from) OVER w IS NULL AS is_current
+      FROM spans WINDOW w AS (PARTITION BY patient_id ORDER BY island))""",
     "scd2_history": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,
         {_day("valid_from")} AS valid_from, {_day("valid_to")} AS valid_to) FROM history""",
     "scd2_late_rebuild": f"""SELECT * REPLACE ({_day("last_admission_date")} AS last_admission_date,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, wraps
 
@@ -13,9 +14,12 @@ from verification import bindings as B
 from wardflow import constants as K
 from wardflow.functions.parsing import iso_date
 from wardflow.operators import admissions as adm
-from wardflow.operators import dedup, gold, ingest, patient_dim, quality, reports
+from wardflow.operators import (dedup, gold, ingest, monthly_state, patient_dim, quality,
+                                reports)
 from wardflow.operators import labs as lab
 from wardflow.plans import audit, models, serving
+from wardflow.session import shared_folder
+from wardflow.sources.keyed import KeyedTable
 from wardflow.sources.warehouse import warehouse_export, warehouse_rejects
 from wardflow.streaming import vitals
 
@@ -140,6 +144,40 @@ def comparable(rows: DataFrame) -> DataFrame:
     return rows.select(*[rendered(f) for f in rows.schema.fields])
 
 
+def _silver_incremental(d: Layers) -> DataFrame:
+    """Silver after two deliveries, each merged into the partitions it touches."""
+    flagged = [adm.flagged_admissions(rows, ["_ingested_at", "_batch_id"], keep=("_batch_id",))
+               .withColumn("outcome", F.when(F.col("dq_flag") == K.VALID, "valid")
+                           .otherwise("rejected"))
+               for rows in B.corrected_deliveries(d.spark, d.sf_dir)]
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flagged[0].schema.fields)
+    table = KeyedTable(d.spark, f"{shared_folder(d.spark)}/wardflow-silver-{uuid.uuid4().hex}",
+                       ddl, ["admission_id"], ["outcome", "department"], buckets=4)
+    for rows in flagged:
+        table.merge(rows)
+    return table.read().filter("outcome = 'valid'").drop("outcome", "_ingested_at", "_batch_id")
+
+
+def _kpis_from_state(d: Layers) -> DataFrame:
+    """Monthly figures from the states of two halves of the facts, merged; no month is recounted."""
+    half = F.col("admission_id") % 2 == 0
+    parts = [d.valid.filter(half), d.valid.filter(~half)]
+    known = monthly_state.number_patients(parts[0])
+    numbers = monthly_state.number_patients(d.valid, known)
+    return monthly_state.kpis_from_state(monthly_state.merged(
+        *[monthly_state.monthly_state(part, numbers) for part in parts]))
+
+
+def _scd2_without_id(d: Layers) -> DataFrame:
+    """The dimension after two loads in which a part of the facts has no patient."""
+    missing = F.when(F.col("patient_id") % 10 != 0, F.col("patient_id"))
+    facts = d.facts.withColumn("patient_id", missing)
+    second = ((F.col("admission_date") >= F.lit(SECOND_LOAD_FROM).cast("date"))
+              | (F.col("admission_id") % 1000 == 0))
+    dim = patient_dim.scd2_history(facts.filter(~second), ["insurer_name"])
+    return patient_dim.scd2_load(dim, facts.filter(second), facts, ["insurer_name"])
+
+
 def _last_three_loads(d: Layers) -> DataFrame:
     """Admissions as monthly loads: the month is the batch, the admission day its arrival."""
     parsed = iso_date("admission_date")
@@ -184,6 +222,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "dedup_labs_compat": lambda d: dedup.latest_per_key(
         d.bronze_labs, dedup.LAB_KEY_COMPAT, [], B.LAB_TIE_BREAK),
     "silver_admissions": lambda d: d.valid,
+    "silver_incremental": _silver_incremental,
     "silver_labs": lambda d: d.valid_labs,
     "stg_admissions": lambda d: d.model("stg_admissions"),
     # quality
@@ -206,6 +245,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "freshness_check": _freshness,
     # gold and summaries
     "dept_monthly_kpis": lambda d: d.kpis,
+    "kpis_from_state": _kpis_from_state,
     "readmission_analysis": lambda d: d.readmissions,
     "financial_summary": lambda d: d.finance,
     "critical_labs_watch": lambda d: d.critical,
@@ -225,6 +265,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "patient_snapshot": lambda d: patient_dim.patient_snapshot(d.valid),
     "scd2_initial": lambda d: patient_dim.scd2_initial(patient_dim.patient_snapshot(d.facts)),
     "scd2_merge": lambda d: d.merged_dim.select(*_HISTORY),
+    "scd2_missing_ids": lambda d: _scd2_without_id(d).select(*_HISTORY),
     "scd2_history": lambda d: d.insurer_history.select(*_HISTORY),
     "scd2_late_rebuild": lambda d: d.rebuilt_after_late_facts.select(*_HISTORY),
     "scd2_counts": lambda d: patient_dim.scd2_counts(d.insurer_history),

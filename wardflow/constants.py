@@ -40,12 +40,15 @@ COST_NON_POSITIVE = "INVALID_COST:non_positive"
 ADMISSION_ID_MISSING = "NULL_ID:admission"
 AGE_UNPARSEABLE = "INVALID_AGE:unparseable"
 COST_UNPARSEABLE = "INVALID_COST:unparseable"
+PATIENT_ID_MISSING = "NULL_ID:patient"
+DEPARTMENT_MISSING = "NULL_DEPARTMENT"
 MAX_AGE = 120
 MAX_STAY_DAYS = 365
 ADMISSION_FLAGS = [
     VALID, LOS_NEGATIVE, AGE_NEGATIVE, AGE_UNREALISTIC, ADMISSION_MISSING,
     DISCHARGE_MISSING, LOS_SUSPICIOUS, COST_NON_POSITIVE,
-    ADMISSION_ID_MISSING, AGE_UNPARSEABLE, COST_UNPARSEABLE,
+    ADMISSION_ID_MISSING, AGE_UNPARSEABLE, COST_UNPARSEABLE, PATIENT_ID_MISSING,
+    DEPARTMENT_MISSING,
 ]
 
 # --- lab quality flags, in order of precedence

@@ -35,6 +35,8 @@ def admission_rules() -> list[Rule]:
         Rule(K.ADMISSION_ID_MISSING, F.col("admission_id").isNull()),
         Rule(K.AGE_UNPARSEABLE, F.col("_unparsed_age")),
         Rule(K.COST_UNPARSEABLE, F.col("_unparsed_cost")),
+        Rule(K.PATIENT_ID_MISSING, F.col("patient_id").isNull()),
+        Rule(K.DEPARTMENT_MISSING, F.col("department").isNull()),
     ]
 
 

@@ -32,6 +32,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--batch-id",
                      default=datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S"))
     run.add_argument("--keep", type=int, default=2, help="published runs to keep")
+    run.add_argument("--incremental", action="store_true",
+                     help="merge the delivery into Silver instead of rebuilding it")
     run.add_argument("--stage", action="append", choices=batch.STAGES,
                      help="only these stages; give the batch id of the run they belong to")
 
@@ -58,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake(spark, args.lake)
     if args.command == "batch":
         batch.run_batch(spark, lake, args.batch_id, args.admissions, args.labs, keep=args.keep,
-                        stages=args.stage)
+                        stages=args.stage, incremental=args.incremental)
     elif args.command == "stream":
         messages = (jobs.kafka_messages(spark, args.brokers) if args.brokers
                     else jobs.file_messages(spark, args.folder))

@@ -52,18 +52,21 @@ def derived(rows: DataFrame) -> DataFrame:
 
 
 def flagged_admissions(bronze: DataFrame, newest_first: list[str] | None = None,
-                       tie_break: list[str] | None = None) -> DataFrame:
+                       tie_break: list[str] | None = None,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Every deduplicated admission with its ``dq_flag``; valid and rejected rows together.
 
     Text is parsed below the deduplication: typed rows are smaller to shuffle, and nothing above
     the exchange can fold the parsing into the quality filter, which would repeat it per rule.
+    ``keep`` names Bronze audit columns that stay.
     """
     if newest_first is None:
         newest_first = ["_ingested_at"] if "_ingested_at" in bronze.columns else []
     parsed = standardized(typed(bronze))
     rows = derived(latest_per_key(parsed, ["admission_id"], newest_first, tie_break))
     return (rows.withColumn("dq_flag", rules.quality_flag(rules.admission_rules()))
-            .drop("_source", "_source_file", "_batch_id", "_unparsed_age", "_unparsed_cost"))
+            .drop(*{"_source", "_source_file", "_batch_id"} - {*keep}, "_unparsed_age",
+                  "_unparsed_cost"))
 
 
 def with_lineage(rows: DataFrame, batch_id: str, processed_at: Column | None = None) -> DataFrame:

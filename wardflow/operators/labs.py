@@ -37,7 +37,8 @@ def derived(rows: DataFrame) -> DataFrame:
 
 def flagged_labs(bronze: DataFrame, keys: list[str] | None = None,
                  newest_first: list[str] | None = None,
-                 tie_break: list[str] | None = None) -> DataFrame:
+                 tie_break: list[str] | None = None,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Every deduplicated result with its ``dq_flag``.
 
     The default key is (lab_id, marker): all markers of a panel share one lab_id, and keying on
@@ -47,4 +48,4 @@ def flagged_labs(bronze: DataFrame, keys: list[str] | None = None,
         newest_first = ["_ingested_at"] if "_ingested_at" in bronze.columns else []
     rows = derived(latest_per_key(typed(bronze), keys or LAB_KEY, newest_first, tie_break))
     return (rows.withColumn("dq_flag", rules.quality_flag(rules.lab_rules()))
-            .drop("_source", "_source_file", "_batch_id"))
+            .drop(*{"_source", "_source_file", "_batch_id"} - {*keep}))

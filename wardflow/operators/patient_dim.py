@@ -97,11 +97,18 @@ def late_patients(dim: DataFrame, facts: DataFrame, date: str = "admission_date"
     return (first.join(current, KEY).filter(F.col("_first") < F.col("valid_from")).select(KEY))
 
 
+def _same_patient(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the patient; NULL is a patient like any other. ``right`` has a row per patient."""
+    renamed = right.withColumnRenamed(KEY, "_patient")
+    joined = left.join(renamed, F.col(KEY).eqNullSafe(F.col("_patient")), how)
+    return joined.drop("_patient") if how in ("inner", "left") else joined
+
+
 def rebuild_patients(dim: DataFrame, facts: DataFrame, patients: DataFrame,
                      tracked: list[str] | None = None) -> DataFrame:
     """Replace the versions of ``patients`` with their history recomputed from all facts."""
-    rebuilt = scd2_history(facts.join(patients, KEY, "left_semi"), tracked)
-    return dim.join(patients, KEY, "left_anti").unionByName(rebuilt.select(*dim.columns))
+    rebuilt = scd2_history(_same_patient(facts, patients, "left_semi"), tracked)
+    return _same_patient(dim, patients, "left_anti").unionByName(rebuilt.select(*dim.columns))
 
 
 def _day_states(facts: DataFrame, attributes: list[str], date: str, fact_id: str) -> DataFrame:
@@ -150,34 +157,41 @@ def scd2_history(facts: DataFrame, tracked: list[str] | None = None,
 
 def scd2_load(dim: DataFrame, new_facts: DataFrame, all_facts: DataFrame,
               tracked: list[str] | None = None, attributes: list[str] | None = None,
-              date: str = "admission_date", fact_id: str = "admission_id") -> DataFrame:
+              date: str = "admission_date", fact_id: str = "admission_id",
+              corrected: DataFrame | None = None) -> DataFrame:
     """The dimension after a load of new facts: the history of all facts, at the cost of the load.
 
-    Only patients of the load are touched. Where all their new facts are later than what the
-    current version has seen, the current version goes on as if it were one day of facts: it may
-    be extended, or closed by any number of new versions, and totals keep counting. A patient
-    with an older or equally dated fact is rebuilt from ``all_facts``, which include the new ones.
-    Closed versions and untouched patients pass through.
+    Only patients of the load are touched; a missing patient id is one of them. Where all their
+    new facts are later than what the current version has seen, the current version goes on as if
+    it were one day of facts: it may be extended, or closed by any number of new versions, and
+    totals keep counting. A patient with an older or equally dated fact, or named by
+    ``corrected`` because a fact seen before has changed, is rebuilt from ``all_facts``, which
+    include the new ones. Closed versions and untouched patients pass through.
+
+    Every patient is marked once; what goes on and what is rebuilt then share one window.
     """
     tracked, attributes = tracked or TRACKED, attributes or ATTRIBUTES
     dated = new_facts.filter(F.col(date).isNotNull())
-    current = dim.filter(F.col("is_current"))
-    touched = dated.groupBy(KEY).agg(F.min(date).alias("_first")).join(
-        current.select(KEY, F.col("last_admission_date").alias("_seen")), KEY, "left")
-    late = touched.filter(F.col("_first") <= F.col("_seen")).select(KEY)
-    on_time = touched.filter(F.col("_seen").isNull() | (F.col("_first") > F.col("_seen"))) \
-        .select(KEY)
-
-    seeds = current.join(on_time, KEY, "left_semi").select(
+    current = dim.filter(F.col("is_current")).select(KEY, F.col("last_admission_date").alias("_seen"))
+    first = dated.groupBy(KEY).agg(F.min(date).alias("_first"))
+    marks = _same_patient(first, current, "left").select(
+        KEY, F.coalesce(F.col("_first") <= F.col("_seen"), F.lit(False)).alias("_rebuild"))
+    if corrected is not None:
+        named = corrected.select(KEY).distinct().withColumn("_rebuild", F.lit(True))
+        marks = marks.unionByName(named).groupBy(KEY).agg(F.max("_rebuild").alias("_rebuild"))
+
+    marked = _same_patient(dim, marks, "left")
+    goes_on = F.col("_rebuild").eqNullSafe(F.lit(False))
+    kept = marked.filter(F.col("_rebuild").isNull() | (goes_on & ~F.col("is_current")))
+    seeds = marked.filter(goes_on & F.col("is_current")).select(
         KEY, F.col("last_admission_date").alias("day"), F.struct(*attributes).alias("state"),
         F.col("total_admissions").alias("n"), F.col("valid_from").alias("start"))
-    days = _day_states(dated.join(on_time, KEY, "left_semi"), attributes, date, fact_id)
-    columns = dim.columns
-    return (dim.join(touched.select(KEY), KEY, "left_anti")
-            .unionByName(dim.filter(~F.col("is_current")).join(on_time, KEY, "left_semi"))
-            .unionByName(_versions(seeds.unionByName(days), tracked).select(*columns))
-            .unionByName(scd2_history(all_facts.join(late, KEY, "left_semi"), tracked, attributes,
-                                      date, fact_id).select(*columns)))
+    needed = [KEY, date, fact_id, *attributes]
+    facts = _same_patient(dated.select(*needed), marks.filter(goes_on), "left_semi").unionByName(
+        _same_patient(all_facts.select(*needed), marks.filter("_rebuild"), "left_semi"))
+    days = _day_states(facts, attributes, date, fact_id)
+    return kept.select(*dim.columns).unionByName(
+        _versions(seeds.unionByName(days), tracked).select(*dim.columns))
 
 
 def scd2_counts(dim: DataFrame) -> DataFrame:

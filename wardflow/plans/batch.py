@@ -18,8 +18,10 @@ from wardflow import constants as K
 from wardflow.operators import admissions as adm
 from wardflow.operators import gold, ingest, patient_dim, quality
 from wardflow.operators import labs as lab
+from wardflow.operators.dedup import LAB_KEY
 from wardflow.plans import audit, models
 from wardflow.sources import files
+from wardflow.sources.keyed import KeyedTable
 from wardflow.sources.lake import Lake
 
 # Table folders by layer.
@@ -29,6 +31,10 @@ BRONZE_REJECTS = "bronze/rejects"
 SILVER_ADMISSIONS = "silver/admissions"
 SILVER_LABS = "silver/labs"
 PATIENT_DIM = "silver/dim_patient"
+# Silver that deliveries are merged into, and what a delivery changed in it.
+CURRENT = {SILVER_ADMISSIONS: "silver_current/admissions", SILVER_LABS: "silver_current/labs"}
+NEW_FACTS = "silver/new_facts"
+CORRECTED = "silver/corrected_patients"
 GOLD_KPIS = "gold/dept_monthly_kpis"
 GOLD_READMISSIONS = "gold/readmission_analysis"
 GOLD_FINANCE = "gold/financial_summary"
@@ -58,6 +64,7 @@ class BatchRun:
     as_of: Column | None = None
     min_group: int = K.MIN_GROUP
     keep: int = 2
+    incremental: bool = False
     steps: list[dict] = field(default_factory=list)
     started: float = field(default_factory=time.monotonic)
 
@@ -102,19 +109,53 @@ class BatchRun:
         Writing them as two tables would run the deduplication twice or hold it in memory.
         """
         valid = F.count_if(F.col("outcome") == "valid")
-        for step, bronze, table, flag, folders in (
-            ("transform_admissions", BRONZE_ADMISSIONS, SILVER_ADMISSIONS,
-             adm.flagged_admissions, ["outcome", "department", "admission_year"]),
-            ("transform_labs", BRONZE_LABS, SILVER_LABS, lab.flagged_labs,
-             ["outcome", "test_name"]),
-        ):
+        for step, bronze, table, flag in _SILVER_STEPS:
+            if kept_current(self.lake, table):
+                raise ValueError(f"deliveries are merged into {table} here; run incrementally")
             raw = self.bronze(bronze)
-            flagged = adm.with_lineage(flag(raw), self.batch_id).withColumn(
-                "outcome", F.when(F.col("dq_flag") == K.VALID, "valid").otherwise("rejected"))
-            seen = self.lake.write_version(flagged, table, self.batch_id, folders, valid=valid)
+            seen = self.lake.write_version(_with_outcome(flag(raw), self.batch_id), table,
+                                           self.batch_id, _FOLDERS[table], valid=valid)
             rejected = seen["rows"] - seen["valid"]
             self.log(step, "silver", raw.count(), seen["valid"], f"quarantined={rejected}")
 
+    def merge_silver(self) -> None:
+        """Merge this delivery into Silver: read and rewrite the partitions it touches alone.
+
+        The first time everything in Bronze is the delivery. Readers of Silver see a delivery as
+        soon as its partitions are committed; the tables built from it still wait for the checks.
+        """
+        for step, bronze, table, flag in _SILVER_STEPS:
+            raw = self.bronze(bronze)
+            if kept_current(self.lake, table):
+                raw = raw.filter(F.col("_batch_id") == self.batch_id)
+            flagged = flag(raw, newest_first=["_ingested_at", "_batch_id"], keep=("_batch_id",))
+            seen = current_silver(self.lake, table).merge(
+                _with_outcome(flagged, self.batch_id),
+                self._note_changes if table == SILVER_ADMISSIONS else None)
+            self.lake.write_version(self.spark.range(1), f"{CURRENT[table]}_merged", self.batch_id)
+            self.log(step, "silver", seen["read"], seen["rows"],
+                     f"partitions={seen['partitions']}")
+
+    def _note_changes(self, merge) -> None:
+        """Facts that are new, and patients of facts that were there before, in either form.
+
+        Noted before the table changes. A run that is repeated adds to what it noted first, since
+        by then some partitions may have changed.
+        """
+        before, after = merge.before.select("admission_id", "patient_id"), merge.after
+        valid = after.filter(F.col("outcome") == "valid")
+        new = valid.join(before.select("admission_id").na.drop(), "admission_id", "left_anti")
+        again = after.select("admission_id", "patient_id").join(
+            before.select("admission_id").na.drop(), "admission_id", "left_semi")
+        corrected = before.unionByName(again).select("patient_id")
+        if self.lake.has_version(CORRECTED, self.batch_id):
+            corrected = corrected.unionByName(
+                self.lake.read(CORRECTED, "patient_id string", self.batch_id))
+        self.lake.write_version(corrected.distinct(), CORRECTED, self.batch_id)
+        self.lake.write_version(new.select(
+            "patient_id", "admission_id", "admission_date", *patient_dim.ATTRIBUTES), NEW_FACTS,
+            self.batch_id)
+
     def silver(self, table: str):
         """Valid rows of this run; the filter prunes folders."""
         return silver(self.lake, table, self.batch_id)
@@ -131,10 +172,16 @@ class BatchRun:
 
         Patients whose facts this delivery adds or replaces are rebuilt from all their facts; the
         versions of all others are taken over. A fact that changed its patient, was corrected or
-        is now rejected touches the patients of its old and its new form.
+        is now rejected touches the patients of its old and its new form. An incremental run
+        knows which facts are new: patients that have only such go on from their current version.
         """
         facts = self.silver(SILVER_ADMISSIONS)
-        if PATIENT_DIM in self.lake.published():
+        if PATIENT_DIM in self.lake.published() and self.incremental:
+            dim = patient_dim.scd2_load(
+                self.lake.read(PATIENT_DIM, K.PATIENT_DIM_DDL),
+                self.lake.read(NEW_FACTS, version=self.batch_id), facts,
+                corrected=self.lake.read(CORRECTED, "patient_id string", self.batch_id))
+        elif PATIENT_DIM in self.lake.published():
             keys = self.bronze(BRONZE_ADMISSIONS).filter(
                 F.col("_batch_id") == self.batch_id).select("admission_id").distinct()
             before = silver(self.lake, SILVER_ADMISSIONS).select("admission_id", "patient_id")
@@ -193,20 +240,51 @@ class BatchRun:
             & (F.col("column_name") != "admission_id")
             | (F.col("table_name") == SILVER_ADMISSIONS))
         quality.require(on_silver.withColumn("passed", F.col("failures") == 0), "passed")
-        self.lake.publish(self.batch_id, TABLES)
+        self.lake.publish(self.batch_id, [t for t in TABLES if not (
+            self.incremental and t in CURRENT)])
         self.lake.expire(self.keep)
 
 
+_FOLDERS = {SILVER_ADMISSIONS: ["outcome", "department", "admission_year"],
+            SILVER_LABS: ["outcome", "test_name"]}
+_KEYS = {SILVER_ADMISSIONS: ["admission_id"], SILVER_LABS: LAB_KEY}
+_SILVER_STEPS = [
+    ("transform_admissions", BRONZE_ADMISSIONS, SILVER_ADMISSIONS, adm.flagged_admissions),
+    ("transform_labs", BRONZE_LABS, SILVER_LABS, lab.flagged_labs),
+]
+
+
+def _with_outcome(flagged, batch_id: str):
+    return adm.with_lineage(flagged, batch_id).withColumn(
+        "outcome", F.when(F.col("dq_flag") == K.VALID, "valid").otherwise("rejected"))
+
+
+def kept_current(lake: Lake, table: str) -> bool:
+    """Whether deliveries are merged into this Silver table, instead of rebuilding it."""
+    return lake.exists(f"{CURRENT[table]}_merged")
+
+
+def current_silver(lake: Lake, table: str) -> KeyedTable:
+    buckets = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+    return KeyedTable(lake.spark, lake.path(CURRENT[table]),
+                      f"{_SILVER_DDL[table]}, _batch_id string", _KEYS[table], _FOLDERS[table],
+                      buckets)
+
+
+def _silver(lake: Lake, table: str, version: str | None):
+    if kept_current(lake, table):
+        return current_silver(lake, table).read().drop("_batch_id")
+    return lake.read(table, _SILVER_DDL[table], version)
+
+
 def silver(lake: Lake, table: str, version: str | None = None):
-    """Valid Silver rows, published ones unless a run is named."""
-    rows = lake.read(table, _SILVER_DDL[table], version)
-    return rows.filter(F.col("outcome") == "valid").drop("outcome")
+    """Valid Silver rows: current ones if deliveries are merged, else published ones or a run's."""
+    return _silver(lake, table, version).filter(F.col("outcome") == "valid").drop("outcome")
 
 
 def quarantine(lake: Lake, table: str, version: str | None = None):
-    """Rejected Silver rows, published ones unless a run is named."""
-    rows = lake.read(table, _SILVER_DDL[table], version)
-    return rows.filter(F.col("outcome") == "rejected").drop("outcome")
+    """Rejected Silver rows, of the same version."""
+    return _silver(lake, table, version).filter(F.col("outcome") == "rejected").drop("outcome")
 
 
 STAGES = ["ingest", "build_silver", "build_patient_dim", "build_gold", "check"]
@@ -215,10 +293,16 @@ STAGES = ["ingest", "build_silver", "build_patient_dim", "build_gold", "check"]
 def run_batch(spark: SparkSession, lake: Lake, batch_id: str,
               admissions_csv: str | list[str], labs_csv: str | list[str],
               as_of: Column | None = None, min_group: int = K.MIN_GROUP, keep: int = 2,
-              stages: list[str] | None = None) -> BatchRun:
-    """Run the stages for one delivery. Repeating a batch id, or a stage, supersedes its output."""
-    run = BatchRun(spark, lake, batch_id, as_of, min_group, keep)
+              stages: list[str] | None = None, incremental: bool = False) -> BatchRun:
+    """Run the stages for one delivery. Repeating a batch id, or a stage, supersedes its output.
+
+    ``incremental`` merges the delivery into Silver instead of rebuilding Silver from all of
+    Bronze; a lake that was run so once stays so.
+    """
+    run = BatchRun(spark, lake, batch_id, as_of, min_group, keep, incremental)
     for stage in stages or STAGES:
+        if stage == "build_silver" and incremental:
+            stage = "merge_silver"
         try:
             if stage == "ingest":
                 run.ingest(admissions_csv, labs_csv)

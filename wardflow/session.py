@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,15 @@ def build_session(app_name: str, settings: dict[str, str] | None = None,
     if checkpoint_dir and not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local one only where the session is local."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-shared-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")

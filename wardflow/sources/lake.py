@@ -106,6 +106,12 @@ class Lake:
         return sorted(f for f in (self._folder(table, name) for name in self._children(table)
                                   if name.startswith("_version=")) if f)
 
+    def exists(self, table: str) -> bool:
+        return self._exists(self.path(table))
+
+    def has_version(self, table: str, version: str) -> bool:
+        return self._folder(table, f"_version={version}") is not None
+
     def expire(self, keep: int = 2) -> list[str]:
         """Delete what only runs before the last ``keep`` published ones use; returns the folders.
 
