@@ -85,6 +85,7 @@ ADMISSIONS_SOURCE = "admissions_csv_batch"
 LABS_SOURCE = "lab_results_csv_batch"
 VITALS_TOPIC = "patient-vitals"
 STREAM_TRIGGER = "30 seconds"
+ALERTS_LATE_BY = "2 hours"
 
 # --- group sizes and cut-offs
 MIN_GROUP = 10

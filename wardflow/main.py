@@ -43,6 +43,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--brokers")
     source.add_argument("--folder")
     stream.add_argument("--available-now", action="store_true")
+    stream.add_argument("--one-pass", action="store_true",
+                        help="land readings, dead letters and alerts of a micro-batch together")
 
     query = commands.add_parser("query", help="print one endpoint or view as JSON lines")
     query.add_argument("--endpoint", required=True,
@@ -64,6 +66,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         messages = (jobs.kafka_messages(spark, args.brokers) if args.brokers
                     else jobs.file_messages(spark, args.folder))
+        if args.one_pass:
+            jobs.start_vitals_in_one_pass(messages, lake.path("bronze"), args.checkpoints,
+                                          args.available_now).awaitTermination()
+            return
         queries = jobs.start_vitals(messages, lake.path("bronze"), args.checkpoints,
                                     available_now=args.available_now)
         for query in queries.values():

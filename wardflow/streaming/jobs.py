@@ -96,3 +96,53 @@ def start_vitals(messages: DataFrame, root: str, checkpoints: str, fmt: str = "p
         name: append_stream(rows, f"{root}/{name}", f"{checkpoints}/{name}", name, fmt,
                             available_now=available_now)
         for name, rows in outputs.items()}}
+
+
+def write_micro_batch(messages: DataFrame, batch: int, root: str) -> None:
+    """One micro-batch: parsed once and landed, then its alerts, from what has landed.
+
+    Both folders are named by the batch and replaced as a whole, so a batch that is run again
+    after a failure, between the two writes or within one, leaves what one run would have left.
+    """
+    folder = f"{root}/vitals_messages/micro_batch={batch}"
+    vitals.with_ingest_time(vitals.decided(messages)).write.mode("overwrite") \
+        .partitionBy("usable").parquet(folder)
+    landed = messages.sparkSession.read.schema(LANDED_DDL).parquet(folder)
+    alerts = vitals.with_ingest_time(vitals.vitals_alerts(vitals.usable(landed)))
+    alerts.write.mode("overwrite").parquet(f"{root}/vitals_alerts/micro_batch={batch}")
+
+
+LANDED_DDL = (f"raw_value string, {K.VITALS_MESSAGE_DDL}, event_ts timestamp, "
+              "_ingested_at timestamp, usable boolean")
+
+
+def start_vitals_in_one_pass(messages: DataFrame, root: str, checkpoints: str,
+                             available_now: bool = False) -> StreamingQuery:
+    """Messages, readings, dead letters and alerts by one query, within one trigger.
+
+    ``landed_outputs`` reads them. Against ``start_vitals``, alerts do not wait for a second
+    trigger and a message is parsed once; a message that cannot be parsed is kept as text all the
+    same.
+    """
+    def write(rows: DataFrame, batch: int) -> None:
+        write_micro_batch(rows, batch, root)
+    trigger = {"availableNow": True} if available_now else {"processingTime": K.STREAM_TRIGGER}
+    return (messages.writeStream.queryName("vitals_in_one_pass").foreachBatch(write)
+            .option("checkpointLocation", f"{checkpoints}/vitals_in_one_pass")
+            .trigger(**trigger).start())
+
+
+def landed_outputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """What ``start_vitals_in_one_pass`` has landed so far."""
+    landed = spark.read.schema(f"{LANDED_DDL}, micro_batch long").parquet(
+        f"{root}/vitals_messages")
+    return {"vitals": vitals.usable(landed), "vitals_dead_letters": vitals.unusable(landed),
+            "vitals_alerts": spark.read.parquet(f"{root}/vitals_alerts").drop("micro_batch")}
+
+
+def start_alert_summary(alerts: DataFrame, root: str, checkpoints: str,
+                        available_now: bool = False) -> StreamingQuery:
+    """Append each day's alert counts once the day is over and late alerts have had their time."""
+    return append_stream(vitals.windowed_alert_summary(alerts), f"{root}/alert_summary",
+                         f"{checkpoints}/alert_summary", "alert_summary",
+                         available_now=available_now)
