@@ -22,10 +22,12 @@ _SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new local one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``; a local one only where the session is local."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-shared-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")
