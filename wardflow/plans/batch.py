@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from wardflow import constants as K
 from wardflow.operators import admissions as adm
-from wardflow.operators import gold, ingest, patient_dim, quality
+from wardflow.operators import gold, ingest, monthly_state, patient_dim, quality
+from wardflow.operators import incremental as merging
 from wardflow.operators import labs as lab
 from wardflow.operators.dedup import LAB_KEY
 from wardflow.plans import audit, models
@@ -35,6 +36,10 @@ PATIENT_DIM = "silver/dim_patient"
 CURRENT = {SILVER_ADMISSIONS: "silver_current/admissions", SILVER_LABS: "silver_current/labs"}
 NEW_FACTS = "silver/new_facts"
 CORRECTED = "silver/corrected_patients"
+TOUCHED_MONTHS = "silver/touched_months"
+# What the monthly figures of an incremental run are kept in.
+STATE = ["gold/state_sums", "gold/state_patients"]
+NUMBERS = "gold/patient_numbers"
 GOLD_KPIS = "gold/dept_monthly_kpis"
 GOLD_READMISSIONS = "gold/readmission_analysis"
 GOLD_FINANCE = "gold/financial_summary"
@@ -151,7 +156,14 @@ class BatchRun:
         if self.lake.has_version(CORRECTED, self.batch_id):
             corrected = corrected.unionByName(
                 self.lake.read(CORRECTED, "patient_id string", self.batch_id))
+        months = merge.before.select("department", "admission_date").unionByName(
+            after.select("department", "admission_date")).select(
+            "department", F.trunc("admission_date", "MM").alias("month")).na.drop()
+        if self.lake.has_version(TOUCHED_MONTHS, self.batch_id):
+            months = months.unionByName(
+                self.lake.read(TOUCHED_MONTHS, "department string, month date", self.batch_id))
         self.lake.write_version(corrected.distinct(), CORRECTED, self.batch_id)
+        self.lake.write_version(months.distinct(), TOUCHED_MONTHS, self.batch_id)
         self.lake.write_version(new.select(
             "patient_id", "admission_id", "admission_date", *patient_dim.ATTRIBUTES), NEW_FACTS,
             self.batch_id)
@@ -197,12 +209,39 @@ class BatchRun:
 
     # --- gold ------------------------------------------------------------
 
+    def monthly_kpis(self, facts):
+        """Monthly figures; an incremental run counts only the months that its delivery touches."""
+        if not self.incremental:
+            return gold.dept_monthly_kpis(facts)
+        published, known = self.lake.published(), None
+        if NUMBERS in published:
+            months = self.lake.read(TOUCHED_MONTHS, "department string, month date", self.batch_id)
+            # At most as many rows as there are folders; the filter prunes them.
+            folders = [r.asDict() for r in months.select(
+                "department", F.year("month").alias("admission_year")).distinct().collect()]
+            known = self.lake.read(NUMBERS)
+            facts = merging.in_partitions(facts, folders).join(
+                months.withColumnRenamed("department", "_department"),
+                (F.col("department") == F.col("_department"))
+                & (F.trunc("admission_date", "MM") == F.col("month")), "left_semi")
+        self.lake.write_version(monthly_state.number_patients(facts, known), NUMBERS,
+                                self.batch_id)
+        state = monthly_state.monthly_state(
+            facts, self.lake.read(NUMBERS, version=self.batch_id))
+        if known is not None:
+            before = monthly_state.MonthlyState(*[self.lake.read(t) for t in STATE])
+            state = monthly_state.replaced_months(before, months, state)
+        for rows, table in zip(state, STATE):
+            self.lake.write_version(rows, table, self.batch_id)
+        return monthly_state.kpis_from_state(monthly_state.MonthlyState(
+            *[self.lake.read(t, version=self.batch_id) for t in STATE]))
+
     def build_gold(self) -> None:
         facts, results = self.silver(SILVER_ADMISSIONS), self.silver(SILVER_LABS)
         n_facts, n_results = facts.count(), results.count()
         sql = models.build_models(self.spark, facts)
         for step, table, rows, records_in in (
-            ("build_dept_kpis", GOLD_KPIS, gold.dept_monthly_kpis(facts), n_facts),
+            ("build_dept_kpis", GOLD_KPIS, self.monthly_kpis(facts), n_facts),
             ("build_readmission_analysis", GOLD_READMISSIONS,
              gold.readmission_analysis(facts, self.min_group), n_facts),
             ("build_financial_summary", GOLD_FINANCE, gold.financial_summary(facts), n_facts),
@@ -240,8 +279,10 @@ class BatchRun:
             & (F.col("column_name") != "admission_id")
             | (F.col("table_name") == SILVER_ADMISSIONS))
         quality.require(on_silver.withColumn("passed", F.col("failures") == 0), "passed")
-        self.lake.publish(self.batch_id, [t for t in TABLES if not (
-            self.incremental and t in CURRENT)])
+        tables = TABLES
+        if self.incremental:
+            tables = [t for t in TABLES if t not in CURRENT] + [*STATE, NUMBERS]
+        self.lake.publish(self.batch_id, tables)
         self.lake.expire(self.keep)
 
 
