@@ -42,16 +42,16 @@ def number_patients(patients: DataFrame, known: DataFrame | None = None,
     new = new.withColumn("slice", F.pmod(F.xxhash64("patient_id"), F.lit(slices)))
     place = F.row_number().over(Window.partitionBy("slice").orderBy("patient_id"))
     sizes = new.groupBy("slice").agg(F.count(F.lit(1)).alias("size"))
+    if known is not None:  # the numbers in use are a slice before all others
+        used = known.agg(F.coalesce(F.max("number") + 1, F.lit(0)).alias("size"))
+        sizes = sizes.unionByName(used.withColumn("slice", F.lit(-1).cast("long")))
     before = sizes.select("slice", (F.sum("size").over(Window.orderBy("slice"))
                                     - F.col("size")).alias("before"))
     numbered = new.withColumn("place", place).join(before, "slice").select(
         "patient_id", (F.col("before") + F.col("place") - 1).alias("number"))
     if known is None:
         return numbered
-    used = known.agg(F.coalesce(F.max("number") + 1, F.lit(0)).alias("used"))
-    shifted = numbered.crossJoin(F.broadcast(used)).select(  # one row
-        "patient_id", (F.col("number") + F.col("used")).alias("number"))
-    return known.select("patient_id", "number").unionByName(shifted)
+    return known.select("patient_id", "number").unionByName(numbered)
 
 
 def monthly_state(facts: DataFrame, numbers: DataFrame) -> MonthlyState:
