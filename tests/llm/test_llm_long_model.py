@@ -49,4 +49,5 @@ def test_ranges_and_groups_change_nothing(spark, monkeypatch):
                                  "doc_id long, text string, lang string")
     whole = sorted(map(str, pr.judge_quality(docs).collect()))
     monkeypatch.setattr(pr, "RANGE_ROWS", 100)
+    monkeypatch.setattr(pr, "PART_BYTES", 700)
     assert sorted(map(str, pr.judge_quality(docs).collect())) == whole

@@ -6,9 +6,11 @@ import statistics
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_brute import (awkward_texts, base_quality, documents, empty_documents,
                        kneser_ney as brute_model)
+from pyspark.sql import functions as F
 
 from wardflow.llm import perplexity_rules as pr
 from wardflow.llm.common import table
@@ -57,27 +59,41 @@ def brute_verdicts(rows: list[tuple], params=pr.QualityParams()) -> list[tuple]:
     return out
 
 
-def test_model_equals_dictionary_model():
+def test_model_equals_dictionary_model(spark):
     pick = random.Random(5)
     texts = ["".join(pick.choice("ab c.\né") for _ in range(pick.randint(0, 200)))
              for _ in range(30)]
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    ids = pr.gram_ids(np.frombuffer(b"".join(raw), np.uint8), offsets)
-    grams, counts = np.unique(ids, return_counts=True)
-    model = pr.kneser_ney(grams, counts)
-    assert (np.diff(model[0].astype(object)) > 0).all()
+    docs = spark.createDataFrame([(i % 2, "1" * 16, t) for i, t in enumerate(texts)],
+                                 "part long, slot string, text string")
+    top = pr.count_parts(docs).groupBy("slot", "gram").agg(F.sum("c").alias("c"))
     known = brute_model([symbols(t) for t in texts], 4, 64, 54)
-    pick_text = "a bé.Z9\n c"
-    data = np.frombuffer(pick_text.encode(), np.uint8)
-    got = pr.log_probabilities(model, pr.gram_ids(data, np.array([0, len(data)])))
-    padded = [54] * 3 + symbols(pick_text)
-    for i, g in enumerate(got):
-        assert abs(g / pr.FIXED - known(padded[i:i + 3], padded[i + 3])) < 1e-4
+    got = {r.gram: r.p for r in pr.folded_probabilities(top).collect()}
+    want = set()
+    for t in texts:
+        padded = [54] * 3 + symbols(t)
+        want |= {tuple(padded[i:i + 4]) for i in range(len(padded) - 3)}
+    assert set(got) == {sum(c << 6 * (3 - k) for k, c in enumerate(g)) for g in want}
+    for g in want:
+        p = got[sum(c << 6 * (3 - k) for k, c in enumerate(g))]
+        assert abs(math.log(p) - known(g[:3], g[3])) < 1e-9
     for context in ([54, 54, 54], [0, 1, 53], [9, 9, 9]):
         assert abs(sum(math.exp(known(context, s)) for s in range(64)) - 1) < 1e-9
 
 
+def test_hashes_are_found_or_missed_loudly():
+    pick = np.random.default_rng(2)
+    grams = np.unique(pick.integers(0, 1 << 40, 5000))
+    rows = pa.table({"slot": ["1" * 16] * len(grams), "gram": grams,
+                     "value": np.arange(len(grams), dtype=np.int32),
+                     "long_value": np.arange(len(grams), dtype=np.int32)})
+    values = pr.PartValues(pa.concat_tables([rows, rows.slice(0, 100)]))
+    wanted = pick.choice(len(grams), 20_000)
+    keys = pr.long_keys(grams.astype(np.uint64), pr.slot_numbers(rows["slot"]))
+    assert (values.values[0][values.places(keys[wanted])] == wanted).all()
+    with pytest.raises(ValueError):
+        values.places(keys + np.uint64(1))
+
+
 def test_supplied_table_against_brute_force(spark, small):
     docs = table(spark, small, "documents")
     rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]

@@ -1,44 +1,39 @@
 """Quality rules: base text rules, and n-gram perplexity within language-specific bands.
 
-Model: a modified Kneser-Ney model of order 4 over the bytes of a text, mapped to 64 classes
-(letters by case, digits, space, line end, punctuation, symbols, groups of the bytes beyond
-ASCII). Spark counts all 4-grams of all documents per language; lower orders are continuation
-counts derived from those, and discounts come from the counts of counts. A language has at most
-64^4 = 16.8 million 4-grams whatever the corpus, which bounds what a worker loads to about 270 MB;
-a few tens of thousands are usual. The model is written to the shared folder as one sorted array of
-64-bit hashes per language, with fixed-point log probabilities and back-off weights, and looked
-up by binary search. Fixed point makes the sum of a document independent of batching.
-
-That model is small and folded. A second one, of order 5 over the bytes as they are, has no such
-bound: its 5-grams grow with the corpus. All its steps are Spark aggregates and joins over rows of
-distinct n-grams, level by level, and no language is one group. Every document is part of the
-corpus, so each of its 5-grams is in the table and only their probabilities are needed. They are
-written in ranges of 64-bit hashes; a task gathers the distinct hashes of some megabytes of text
-and reads the ranges one after the other, so that no worker holds more than one range and the
-values of its own text.
+Two modified Kneser-Ney models per language. One has order 5 over the bytes as they are; the other
+has order 4 over bytes mapped to 64 classes (letters by case, digits, space, line end, punctuation,
+symbols, groups of the bytes beyond ASCII), so a folded 4-gram follows from a 5-gram. Spark counts
+the 5-grams of all documents once; folded counts, lower orders (continuation counts), discounts
+(counts of counts) and probabilities are aggregates and joins over rows of distinct n-grams, and no
+language is one group. What is counted has no bound and grows with the corpus.
+
+Look-up follows the text, not the model. Rows that lie together in a file are a part of about
+``PART_BYTES`` of text. The counting pass writes each part's distinct 5-grams; a join gives them
+their values under both models; they are written by part. A scoring task reads the values of the
+part that it is at, as one sorted array of 64-bit hashes, and never any other. Every document is in
+the corpus, so each of its n-grams is there and back-off is needed only in building. Values are
+fixed-point logs: the sum of a document does not depend on batching.
 
 Verdict: under both models, the mean negative log probability of a byte is compared with the
 median of the document's language. The allowed distances below and above are ``lower_width`` and
 ``upper_width`` median absolute deviations (``long_lower_width`` and ``long_upper_width`` under the
-second), wider for short texts, whose means vary more.
+model of order 5), wider for short texts, whose means vary more.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import textscan
-from wardflow.llm.common import (file_system, only, scratch_path, ship_code, slices, text_buffers,
+from wardflow.llm.common import (file_system, scratch_path, ship_code, slices, text_buffers,
                                  written)
 
 ORDER = 4
@@ -49,11 +44,11 @@ BINS = 2000
 SYMBOLS = b"#*$%&|<>"
 #: Entries a counting task gathers before it hands them on; counts add up, so this is no cap.
 FLUSH = 4_000_000
-MODELS_KEPT = 8
-#: The model of bytes as they are: its order, rows of a hash range, and text looked up at a time.
+#: The order of the model of bytes as they are.
 LONG = 5
+#: Text that shares one array of values, and rows of values in a folder of parts.
+PART_BYTES = 16_000_000
 RANGE_ROWS = 1_000_000
-GROUP_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -82,18 +77,13 @@ def byte_classes() -> np.ndarray:
     return out
 
 
-def gram_ids(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The 4-gram that ends at each byte; documents begin with line ends."""
-    now = byte_classes()[data].astype(np.uint32)
-    out = now.copy()
-    begins = offsets[:-1][np.diff(offsets) > 0]
-    for back in range(1, ORDER):
-        before = np.full(len(now), 54, np.uint32)
-        before[back:] = now[:-back]
-        for j in range(back):
-            place = begins + j
-            before[place[place < len(now)]] = 54
-        out |= before << np.uint32(BITS * back)
+def folded(gram: Column) -> Column:
+    """The folded 4-gram of an unfolded 5-gram: the classes of its last four bytes."""
+    classes = F.array(*[F.lit(c) for c in byte_classes().tolist()])
+    out = F.lit(0).cast("long")
+    for back in range(ORDER):
+        byte = F.shiftright(gram, 8 * back).bitwiseAND(F.lit(255).cast("long")).cast("int")
+        out = out.bitwiseOR(F.shiftleft(F.element_at(classes, byte + 1).cast("long"), BITS * back))
     return out
 
 
@@ -112,9 +102,10 @@ def long_ids(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _count_batches(batches, grams=gram_ids, width: int = BITS * ORDER):
-    """Rows of (slot, gram, c): how often each gram of ``width`` bits occurs, of one task."""
-    codes: dict[str, int] = {}
+def _count_batches(batches):
+    """Rows of (part, slot, gram, c): how often each 5-gram occurs in a part, as seen by a task."""
+    width = 8 * LONG
+    codes: dict[tuple[int, str], int] = {}
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     waiting: list[np.ndarray] = []
 
@@ -127,21 +118,23 @@ def _count_batches(batches, grams=gram_ids, width: int = BITS * ORDER):
         return (k[first], np.add.reduceat(c, first)) if len(k) else (k, c)
 
     def emitted(k, c):
-        names = np.array([*codes, ""], dtype=object)
+        parts = np.array([part for part, _ in codes], np.int64)
+        names = np.array([*[slot for _, slot in codes], ""], dtype=object)
         for a in range(0, len(k), 200_000):
-            part = k[a:a + 200_000]
+            some = k[a:a + 200_000]
+            code = (some >> np.uint64(width)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[(part >> np.uint64(width)).astype(np.int64)], pa.string()),
-                 pa.array((part & np.uint64((1 << width) - 1)).astype(np.int64)),
-                 pa.array(c[a:a + 200_000])], ["slot", "gram", "c"])
+                [pa.array(parts[code]), pa.array(names[code], pa.string()),
+                 pa.array((some & np.uint64((1 << width) - 1)).astype(np.int64)),
+                 pa.array(c[a:a + 200_000])], ["part", "slot", "gram", "c"])
 
     for batch in batches:
-        slots = batch.column(0).to_pylist()
-        data, offsets = text_buffers(batch.column(1))
+        named = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        data, offsets = text_buffers(batch.column(2))
         for a, b in slices(offsets):
-            part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-            code = np.array([codes.setdefault(s, len(codes)) for s in slots[a:b]], np.uint64)
-            ids = grams(part, off)
+            code = np.array([codes.setdefault(s, len(codes)) for s in named[a:b]], np.uint64)
+            off = offsets[a:b + 1] - offsets[a]
+            ids = long_ids(data[offsets[a]:offsets[b]], off)
             for one in np.unique(code):
                 mine = ids if (code == one).all() else ids[np.repeat(code == one, np.diff(off))]
                 mine = np.sort(mine)
@@ -159,76 +152,6 @@ def _count_batches(batches, grams=gram_ids, width: int = BITS * ORDER):
     yield from emitted(*merged())
 
 
-def gram_hash(ids: np.ndarray, kind: int) -> np.ndarray:
-    """Distinct for distinct (kind, id): the mixing is one-to-one."""
-    return textscan.mix(ids.astype(np.uint64) | np.uint64(kind << 32), 5)
-
-
-def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and fixed-point natural logs of a modified Kneser-Ney model.
-
-    ``kind`` n in a hash is an n-gram's probability, ``16 + n`` the back-off weight of the
-    context of n symbols. ``grams`` are sorted and distinct.
-    """
-    levels = {ORDER: (grams.astype(np.int64), counts.astype(np.float64))}
-    for n in range(ORDER - 1, 0, -1):
-        above = levels[n + 1][0] & ((1 << BITS * n) - 1)
-        ids, types = np.unique(above, return_counts=True)
-        levels[n] = (ids, types.astype(np.float64))
-    every = np.arange(1 << BITS, dtype=np.int64)
-    ids, types = levels[1]
-    below = np.full(1 << BITS, 0.01 / (1 << BITS))
-    below[ids] += 0.99 * types / types.sum()
-    hashes, values = [gram_hash(every, 1)], [np.log(below)]
-    lower_ids, lower = every, below
-    for n in range(2, ORDER + 1):
-        ids, c = levels[n]
-        n1, n2, n3, n4 = ((c == i).sum() for i in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        steps = [1 - 2 * y * n2 / n1 if n1 and n2 else 0.5,
-                 2 - 3 * y * n3 / n2 if n2 and n3 else 1.0,
-                 3 - 4 * y * n4 / n3 if n3 and n4 else 1.5]
-        discount = np.array([0.0, *[min(max(d, 0.05), i + 0.95) for i, d in enumerate(steps)]])
-        off = discount[np.minimum(c, 3).astype(np.int64)]
-        contexts, place = np.unique(ids >> BITS, return_inverse=True)
-        total = np.bincount(place, c)
-        weight = np.bincount(place, off) / total
-        suffix = ids & ((1 << BITS * (n - 1)) - 1)
-        p = (c - off) / total[place] + weight[place] * lower[np.searchsorted(lower_ids, suffix)]
-        hashes += [gram_hash(ids, n), gram_hash(contexts, 16 + n - 1)]
-        values += [np.log(p), np.log(weight)]
-        lower_ids, lower = ids, p
-    h, v = np.concatenate(hashes), np.rint(np.concatenate(values) * FIXED).astype(np.int32)
-    order = np.argsort(h)
-    return h[order], v[order]
-
-
-def _build(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("gram")
-    h, v = kneser_ney(frame["gram"].to_numpy(), frame["c"].to_numpy())
-    return pd.DataFrame({"slot": frame["slot"].iloc[0], "hash": h.view(np.int64), "value": v})
-
-
-def build_model(docs: DataFrame) -> str:
-    """Count the 4-grams of ``docs(slot, text)``; returns the folder of the written model."""
-    counts = docs.select("slot", "text").mapInArrow(
-        _count_batches, "slot string, gram long, c long")
-    totals = counts.groupBy("slot", "gram").agg(F.sum("c").alias("c"))
-    path = scratch_path(docs.sparkSession, "kneser-ney")
-    # One group is one language's grams, at most 64^4 of them whatever the corpus.
-    totals.groupBy("slot").applyInPandas(_build, "slot string, hash long, value int") \
-        .write.partitionBy("slot").parquet(path)
-    return path
-
-
-def _count_long(batches):
-    yield from _count_batches(batches, long_ids, 8 * LONG)
-
-
-def _suffix(n: int):
-    return F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("long"))
-
-
 def _discounts(level: DataFrame) -> DataFrame:
     """Per language, what is taken off counts of 1, 2, and 3 or more; from the counts of counts."""
     n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
@@ -245,24 +168,28 @@ def _discounts(level: DataFrame) -> DataFrame:
         "slot", step(1, 0.5), step(2, 1.0), step(3, 1.5))
 
 
-def long_probabilities(docs: DataFrame) -> DataFrame:
-    """``(slot, gram, p)`` of a modified Kneser-Ney model, for every 5-gram of the documents."""
-    counts = docs.select("slot", "text").mapInArrow(_count_long, "slot string, gram long, c long")
-    levels = {LONG: written(counts.groupBy("slot", "gram").agg(F.sum("c").alias("c")),
-                            "grams", True)}
-    for n in range(LONG - 1, 0, -1):
-        levels[n] = written(levels[n + 1].select("slot", _suffix(n).alias("gram")).groupBy(
+def kneser_ney(top: DataFrame, order: int, bits: int) -> DataFrame:
+    """``(slot, gram, p)`` for every n-gram of ``top(slot, gram, c)``; ``bits`` hold a symbol.
+
+    What has one row per language is written, so that its joins go by its measured size.
+    """
+    def suffix(n: int):
+        return F.col("gram").bitwiseAND(F.lit((1 << bits * n) - 1).cast("long"))
+
+    levels = {order: top}
+    for n in range(order - 1, 0, -1):
+        levels[n] = written(levels[n + 1].select("slot", suffix(n).alias("gram")).groupBy(
             "slot", "gram").agg(F.count("gram").alias("c")), "grams", True)
-    # What is broadcast here and below has one row per language.
-    totals = levels[1].groupBy("slot").agg(F.sum("c").alias("total"))
-    lower = levels[1].join(F.broadcast(totals), "slot").select(
-        "slot", "gram", (F.lit(0.01 / 256) + F.lit(0.99) * F.col("c") / F.col("total")).alias("p"))
-    for n in range(2, LONG + 1):
+    totals = written(levels[1].groupBy("slot").agg(F.sum("c").alias("total")), "totals", True)
+    lower = levels[1].join(totals, "slot").select(
+        "slot", "gram", (F.lit(0.01 / (1 << bits)) + F.lit(0.99) * F.col("c") / F.col("total"))
+        .alias("p"))
+    for n in range(2, order + 1):
         off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(
             F.col("d3"))
-        rows = levels[n].join(F.broadcast(_discounts(levels[n])), "slot").select(
-            "slot", "gram", "c", off.alias("off"), F.shiftright("gram", 8).alias("context"),
-            _suffix(n - 1).alias("suffix"))
+        rows = levels[n].join(written(_discounts(levels[n]), "discounts", True), "slot").select(
+            "slot", "gram", "c", off.alias("off"), F.shiftright("gram", bits).alias("context"),
+            suffix(n - 1).alias("suffix"))
         # Exact sums whatever the order of the rows: a discount is one of three values.
         contexts = rows.groupBy("slot", "context").agg(
             F.sum("c").alias("total"),
@@ -275,93 +202,101 @@ def long_probabilities(docs: DataFrame) -> DataFrame:
     return lower
 
 
-def _hashed_batches(batches):
-    for batch in batches:
-        slots = np.array([int(s, 16) for s in batch.column(0).to_pylist()], np.uint64)
-        keys = long_keys(batch.column(1).to_numpy().astype(np.uint64), slots)
-        values = np.rint(np.log(batch.column(2).to_numpy()) * FIXED).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values)], ["hash", "value"])
+def count_parts(docs: DataFrame) -> DataFrame:
+    """``(part, slot, gram, c)`` of ``docs(part, slot, text)``; a part's rows may repeat a gram."""
+    return written(docs.select("part", "slot", "text").mapInArrow(
+        _count_batches, "part long, slot string, gram long, c long"), "part-grams")
+
+
+def _total(rows: DataFrame) -> DataFrame:
+    return written(rows.groupBy("slot", "gram").agg(F.sum("c").alias("c")), "grams", True)
+
+
+def long_probabilities(docs: DataFrame) -> DataFrame:
+    """``(slot, gram, p)`` for every 5-gram of ``docs(slot, text)``."""
+    return kneser_ney(_total(count_parts(docs.withColumn("part", F.lit(0).cast("long")))), LONG, 8)
+
+
+def folded_probabilities(top: DataFrame) -> DataFrame:
+    """``(slot, gram, p)`` for every folded 4-gram, from the counts of 5-grams."""
+    return kneser_ney(_total(top.select("slot", folded(F.col("gram")).alias("gram"), "c")),
+                      ORDER, BITS)
+
+
+def _fixed(p: str) -> Column:
+    return F.rint(F.log(p) * F.lit(float(FIXED))).cast("int")
+
+
+def write_values(docs: DataFrame) -> tuple[str, int]:
+    """The values of each part's distinct 5-grams, in a folder of ``n`` folders of parts."""
+    parts = count_parts(docs)
+    top = _total(parts)
+    small = folded_probabilities(top).select(
+        "slot", F.col("gram").alias("small"), _fixed("p").alias("value"))
+    model = written(kneser_ney(top, LONG, 8).select(
+        "slot", "gram", folded(F.col("gram")).alias("small"), _fixed("p").alias("long_value"))
+        .join(small, ["slot", "small"]).drop("small"), "model", True)
+    n = 1 + parts.count() // RANGE_ROWS
+    path = scratch_path(docs.sparkSession, "values")
+    parts.select("part", "slot", "gram").join(model, ["slot", "gram"]).withColumn(
+        "folder", _folder(n)).hint("rebalance", "folder").sortWithinPartitions("folder", "part") \
+        .write.partitionBy("folder").parquet(path)
+    return path, n
+
+
+def _folder(n: int) -> Column:
+    return F.pmod(F.xxhash64("part"), F.lit(n)).alias("folder")
 
 
 def long_keys(ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """One hash for a 5-gram and its language; distinct for the 5-grams of a language."""
-    return textscan.mix(ids + slots, 7).view(np.int64)
-
-
-def build_long_model(docs: DataFrame) -> str:
-    """The folder with the log probabilities of all 5-grams, in files that are hash ranges."""
-    probabilities = long_probabilities(docs)
-    ranges = 1 + probabilities.count() // RANGE_ROWS
-    path = scratch_path(docs.sparkSession, "long-model")
-    probabilities.mapInArrow(_hashed_batches, "hash long, value int") \
-        .repartitionByRange(ranges, "hash").sortWithinPartitions("hash").write.parquet(path)
-    return path
-
-
-def look_up(path: str, wanted: np.ndarray) -> np.ndarray:
-    """The values of sorted distinct hashes, from one range after the other."""
-    out = np.zeros(len(wanted), np.int64)
-    seen = 0
-    where, inner = file_system(path)
-    for f in where.get_file_info(pafs.FileSelector(inner)) if len(wanted) else []:
-        if not f.base_name.endswith(".parquet"):
-            continue
-        part = pq.ParquetFile(where.open_input_file(f.path)).read(["hash", "value"])
-        hashes = part["hash"].to_numpy()
-        if not len(hashes):
-            continue
-        a, b = np.searchsorted(wanted, [hashes[0], hashes[-1]])
-        b += b < len(wanted) and wanted[b] == hashes[-1]
-        place = np.searchsorted(hashes, wanted[a:b])
-        hit = hashes[place] == wanted[a:b]
-        out[a:b][hit] = part["value"].to_numpy()[place[hit]]
-        seen += int(hit.sum())
-    if seen != len(wanted):
-        raise ValueError(f"{len(wanted) - seen} n-grams are missing: the documents changed")
-    return out
+    return textscan.mix(ids + slots, 7)
 
 
-_MODELS: OrderedDict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = OrderedDict()
-
-
-def load_model(path: str, slot: str) -> tuple[np.ndarray, np.ndarray]:
-    """A language's arrays from the shared folder; a worker keeps the last few languages."""
-    key = (path, slot)
-    if key not in _MODELS:
-        where, inner = file_system(path)
-        files = [f.path for f in where.get_file_info(pafs.FileSelector(f"{inner}/slot={slot}"))
-                 if f.base_name.endswith(".parquet")]
-        parts = [pq.ParquetFile(where.open_input_file(f)).read(["hash", "value"]) for f in files]
-        both = pa.concat_tables(parts)
-        h = both["hash"].to_numpy().view(np.uint64)
-        v = both["value"].to_numpy()
-        order = np.argsort(h)
-        _MODELS[key] = (h[order], v[order])
-        while len(_MODELS) > MODELS_KEPT:
-            _MODELS.popitem(last=False)
-    _MODELS.move_to_end(key)
-    return _MODELS[key]
-
-
-def log_probabilities(model: tuple[np.ndarray, np.ndarray], ids: np.ndarray) -> np.ndarray:
-    """Fixed-point log probability of the last symbol of each 4-gram, with back-off."""
-    hashes, values = model
-    out = np.zeros(len(ids), np.int64)
-    left = np.arange(len(ids))
-    for n in range(ORDER, 0, -1):
-        short = ids[left] & np.uint32((1 << BITS * n) - 1)
-        h = gram_hash(short, n)
-        place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        hit = hashes[place] == h
-        out[left[hit]] += values[place[hit]]
-        left, short = left[~hit], short[~hit]
-        if not len(left):
-            break
-        h = gram_hash(short >> np.uint32(BITS), 16 + n - 1)
-        place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        seen = hashes[place] == h
-        out[left[seen]] += values[place[seen]]
-    return out
+def slot_numbers(slots: pa.Array) -> np.ndarray:
+    coded = pa.chunked_array([slots]) if isinstance(slots, pa.Array) else slots
+    coded = coded.combine_chunks().dictionary_encode()
+    names = np.array([int(s, 16) for s in coded.dictionary.to_pylist()], np.uint64)
+    return names[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.uint64)
+
+
+class PartValues:
+    """The values of a part's 5-grams under both models: a sorted array of hashes.
+
+    ``first`` holds, for each leading run of bits, the place of the first hash that is not below
+    it; hashes are mixed, so the wanted one is there or a step or two behind.
+    """
+
+    def __init__(self, rows: pa.Table):
+        keys = long_keys(rows["gram"].to_numpy().astype(np.uint64), slot_numbers(rows["slot"]))
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.values = [rows[c].to_numpy()[order] for c in ("value", "long_value")]
+        bits = max(1, len(keys).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(
+            self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def places(self, wanted: np.ndarray) -> np.ndarray:
+        place = self.first[wanted >> self.shift]
+        left = np.arange(len(wanted))
+        while len(left):
+            at = place[left]
+            if at.max() >= len(self.keys) or (self.keys[at] > wanted[left]).any():
+                raise ValueError("n-grams are missing: the documents changed while they were read")
+            left = left[self.keys[at] < wanted[left]]
+            place[left] += 1
+        return place
+
+
+def load_values(path: str, folder: int, part: int) -> PartValues:
+    """The values of one part from the shared folder."""
+    where, inner = file_system(f"{path}/folder={folder}")
+    found = [pq.read_table(f.path, columns=["slot", "gram", "value", "long_value"],
+                           filters=[("part", "==", part)], filesystem=where, partitioning=None)
+             for f in where.get_file_info(pafs.FileSelector(inner))
+             if f.base_name.endswith(".parquet")]
+    return PartValues(pa.concat_tables(found))
 
 
 def _sums(per_item: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -419,59 +354,33 @@ def base_features(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _groups(batches) -> Iterator[list[pa.RecordBatch]]:
-    """Runs of whole batches with about GROUP_BYTES of text."""
-    group, size = [], 0
-    for batch in batches:
-        group.append(batch)
-        size += batch.column(2).nbytes
-        if size >= GROUP_BYTES:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
-def _parts(group: list[pa.RecordBatch]):
-    """The slices of a group: document ids, languages, bytes and offsets."""
-    for batch in group:
-        slots = np.array(batch.column(1).to_pylist(), dtype=object)
-        data, offsets = text_buffers(batch.column(2))
-        for a, b in slices(offsets):
-            yield (batch.column(0).slice(a, b - a), slots[a:b], data[offsets[a]:offsets[b]],
-                   offsets[a:b + 1] - offsets[a])
-
-
-def _score_batches(path: str, long_path: str):
-    def long_values(group):
-        """The distinct 5-grams' values, and the place of each byte's among them by slice."""
-        found, places = [], []
-        for _, slots, part, off in _parts(group):
-            codes = np.array([int(s, 16) for s in slots], np.uint64)
-            keys, place = np.unique(long_keys(long_ids(part, off), np.repeat(codes, np.diff(off))),
-                                    return_inverse=True)
-            found.append(keys)
-            places.append(place.astype(np.int32))
-        wanted = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        values = look_up(long_path, wanted)
-        for keys, place in zip(found, places):
-            yield values[np.searchsorted(wanted, keys)][place]
-
+def _score_batches(path: str):
     def run(batches):
-        for group in _groups(batches):
-            for (ids, slots, part, off), long_lp in zip(_parts(group), long_values(group)):
-                features = base_features(part, off)
-                grams = gram_ids(part, off)
-                lp = np.zeros(len(grams), np.int64)
-                for slot in set(slots):
-                    mine = np.repeat(slots == slot, np.diff(off))
-                    if mine.any():
-                        lp[mine] = log_probabilities(load_model(path, slot), grams[mine])
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(slots, pa.string()), *[pa.array(features[f]) for f in FEATURES],
-                     pa.array(_sums(lp, off)), pa.array(_sums(long_lp, off)),
-                     pa.array(np.diff(off))],
-                    ["doc_id", "slot", *FEATURES, "lp", "long_lp", "n_bytes"])
+        here, values = None, None
+        for batch in batches:
+            part = batch.column(2).to_numpy(zero_copy_only=False)
+            data, offsets = text_buffers(batch.column(4))
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) \
+                if len(part) else []
+            for begin, end in zip(begins, [*begins[1:], len(part)]):
+                for a, b in slices(offsets[begin:end + 1]):
+                    a, b = a + begin, b + begin
+                    text, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+                    sums = [np.zeros(b - a, np.int64)] * 2
+                    if len(text):
+                        if here != part[a]:
+                            here = part[a]
+                            values = load_values(path, batch.column(3)[int(a)].as_py(), int(here))
+                        slots = slot_numbers(batch.column(1).slice(a, b - a))
+                        place = values.places(long_keys(long_ids(text, off),
+                                                        np.repeat(slots, np.diff(off))))
+                        sums = [_sums(v[place], off) for v in values.values]
+                    features = base_features(text, off)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                         *[pa.array(features[f]) for f in FEATURES],
+                         *[pa.array(x) for x in sums], pa.array(np.diff(off))],
+                        ["doc_id", "slot", *FEATURES, "lp", "long_lp", "n_bytes"])
     return run
 
 
@@ -506,7 +415,33 @@ def _banded(scored: DataFrame, lp: str, prefix: str, widths: tuple[float, float]
     ).drop("center", "spread")
 
 
-def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
+def row_place() -> Column:
+    """Where a row of a plain table lies, the same however often the table is read."""
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"),
+                    F.col("_metadata.row_index").alias("index"))
+
+
+def _in_parts(docs: DataFrame, at: str | None) -> DataFrame:
+    """``docs(doc_id, slot, text, part)``; a part is a run of a file's rows."""
+    slot = F.lower(F.hex(F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit("\u0000")))))
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), slot.alias("slot"),
+               F.col("text").cast("string").alias("text")]
+    if at:
+        placed = docs.select(*columns, F.col(at).alias("at"))
+    else:
+        try:
+            placed = docs.select(*columns, row_place().alias("at"))
+        except AnalysisException:  # no plain table: written as one first
+            placed = written(docs.select("doc_id", "lang", "text"), "rows").select(
+                *columns, row_place().alias("at"))
+    size = placed.agg(F.count("at").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
+    rows = max(1, PART_BYTES * size["n"] // max(1, size["b"] or 0))
+    part = F.xxhash64("at.file", F.floor(F.col("at.index") / F.lit(rows)))
+    return placed.select("doc_id", "slot", "text", part.alias("part"))
+
+
+def judge_quality(docs: DataFrame, params: QualityParams = QualityParams(),
+                  at: str | None = None) -> DataFrame:
     """The base counts and the verdict for every row of ``docs(doc_id, text, lang)``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_percent`` percent
@@ -516,16 +451,16 @@ def judge_quality(docs: DataFrame, params: QualityParams = QualityParams()) -> D
 
     Null or empty text: all counts 0, perplexity null, base_failed, not kept. Null language: a
     language of its own. Every row is returned, repeated ones too; an empty table gives an empty
-    result; extra columns are ignored. The model and the bands are learned from all rows with
-    text.
+    result; extra columns are ignored. The models and the bands are learned from all rows with
+    text. ``at`` names a column of ``row_place()``, for documents that are no plain table any more;
+    without it, such documents are written as a table first.
     """
     spark = docs.sparkSession
     ship_code(spark)
-    docs = only(docs, doc_id="long", text="string", lang="string")
-    slot = F.lower(F.hex(F.xxhash64(F.coalesce("lang", F.lit("\u0000")))))
-    docs = docs.select("doc_id", slot.alias("slot"), "text")
-    scored = written(docs.mapInArrow(
-        _score_batches(build_model(docs), build_long_model(docs)),
+    docs = _in_parts(docs, at)
+    path, n = write_values(docs)
+    scored = written(docs.select("doc_id", "slot", "part", _folder(n), "text").mapInArrow(
+        _score_batches(path),
         "doc_id long, slot string, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long, lp long, long_lp long, n_bytes long"), "scored")
     rows = _banded(scored, "lp", "", (params.lower_width, params.upper_width), params.short)

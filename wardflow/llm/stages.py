@@ -11,33 +11,37 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm.bpe_codec import BpeParams, encode_documents
 from wardflow.llm.common import table, written
 from wardflow.llm.decontamination import find_leaks
 from wardflow.llm.minhash_dedup import NearDupParams, near_duplicates
-from wardflow.llm.perplexity_rules import judge_quality
+from wardflow.llm.perplexity_rules import judge_quality, row_place
 from wardflow.llm.secret_scan import mask_secrets
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+def _named(docs: DataFrame, at: Column | None = None) -> tuple[DataFrame, str]:
     """``docs`` with a 64-bit name of each row, and the name of that column.
 
+    ``at`` is a further column to add, under that name followed by ``at``.
+
     File and row number are the same however often and by whatever tasks a table is read. What is
     no plain table is written as one first.
     """
     row = "_row"
-    while row in docs.columns:
+    while row in docs.columns or row + "at" in docs.columns:
         row += "_"
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    added = [F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(row)]
+    if at is not None:
+        added.append(at.alias(row + "at"))
     try:
-        return docs.select("*", place.alias(row)), row
+        return docs.select("*", *added), row
     except AnalysisException:
-        return written(docs, "rows").select("*", place.alias(row)), row
+        return written(docs, "rows").select("*", *added), row
 
 
 def _as_id(named: DataFrame, row: str) -> DataFrame:
@@ -55,8 +59,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     So do null and empty texts, which have no words.
     """
-    named, row = _named(docs)
-    return _without(named, row, judge_quality(_as_id(named, row)).where("NOT kept"))
+    named, row = _named(docs, row_place())
+    at = row + "at"
+    verdicts = judge_quality(_as_id(named, row), at=at)
+    return _without(named.drop(at), row, verdicts.where("NOT kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
