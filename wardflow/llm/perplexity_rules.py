@@ -47,7 +47,7 @@ FLUSH = 4_000_000
 #: The order of the model of bytes as they are.
 LONG = 5
 #: Text that shares one array of values, and rows of values in a folder of parts.
-PART_BYTES = 16_000_000
+PART_BYTES = 32_000_000
 RANGE_ROWS = 1_000_000
 
 
@@ -386,8 +386,10 @@ def _score_batches(path: str):
 
 def _middle(rows: DataFrame, value, name: str) -> DataFrame:
     """The median of ``value`` per slot to 1 / BINS, from counts of whole bins."""
-    counts = rows.select("slot", F.floor(value * BINS).alias("bin")).groupBy("slot", "bin").count()
     # At most one row per language and bin: the range of a mean log probability, not the corpus.
+    # Written, so that the window by language gets these rows and not those of every task.
+    counts = written(rows.select("slot", F.floor(value * BINS).alias("bin"))
+                     .groupBy("slot", "bin").count(), "bins", True)
     order = Window.partitionBy("slot").orderBy("bin")
     seen = counts.select(
         "slot", "bin", F.sum("count").over(order).alias("upto"),
