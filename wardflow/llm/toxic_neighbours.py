@@ -1,16 +1,19 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max index.
 
-Examples are a bounded sample of the labelled rows that may be learned from, thinned by four
-min-hashes of 5-word shingles, so that a text copied a hundred times counts once. Their terms are
-the words whose presence goes with the label beyond chance (Chernoff bound of the binomial tail,
-corrected for the number of words). Documents and examples are TF-IDF vectors over these terms.
-
-The index holds each term's postings by example, cut into blocks of consecutive examples, with the
-largest weight of every block. A query bounds each block's best cosine by those maxima, visits the
-blocks from the highest bound down, and stops when no bound reaches the k-th best cosine found:
-the k nearest are exact. Neighbours vote with weights that fall with their distance; the vote is
-calibrated by isotonic regression on the examples themselves, each judged without itself. The
-nearest examples are returned as evidence.
+Examples are a bounded sample of the labelled rows that may be learned from; of those with one
+label and the same four min-hashes of 5-word shingles one stays. Documents and examples are TF-IDF
+vectors over all words of the sample. Words whose presence goes with the label beyond chance
+(Chernoff bound of the binomial tail, corrected for the number of words) weigh ``emphasis`` times
+as much, in both; near copies within a label count once towards that.
+
+The index holds postings by example, in blocks of consecutive examples. Words in more than an
+eighth of the examples, which make most of the postings, are kept dense with the largest weight of
+every block. The lists of rarer words have hardly more than one posting in a block, which is then
+the block's largest weight, so they are added up as they are. A query bounds each block's best
+cosine by the two, visits blocks from the highest bound down, and stops when no bound reaches the
+k-th best cosine found: the k nearest are exact. Neighbours vote with weights that fall with their
+distance; the vote is calibrated by isotonic regression on the examples themselves, each judged
+without itself. The nearest examples are returned as evidence.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ class ToxicityParams:
     neighbours: int = 25
     block: int = 64
     softness: float = 0.05  # a neighbour at distance d votes with 1 / (d + softness)
+    emphasis: float = 10.0  # weight of terms that go with the label, against others
 
 
 def held_out(doc_id="doc_id"):
@@ -80,22 +84,27 @@ def examples(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> Data
     terms = written(rows.mapInArrow(
         _example_batches, "doc_id long, toxic int, terms array<long>, counts array<long>, "
         + ", ".join(f"{c} long" for c in MIN_HASH_COLUMNS)), "examples")
-    # Of examples that share a min-hash the first stays. A group is a part of the sample.
-    left = terms.select("doc_id", *MIN_HASH_COLUMNS)
+    thinned = terms.dropDuplicates(["doc_id"]).withColumn("_place", F.row_number().over(
+        Window.partitionBy("toxic", *MIN_HASH_COLUMNS).orderBy("doc_id"))) \
+        .where("_place = 1").drop("_place")
+    # Of near copies within a label the first counts. A group is a part of the sample.
+    left = thinned.select("doc_id", "toxic", *MIN_HASH_COLUMNS)
     for column in MIN_HASH_COLUMNS:
-        place = F.row_number().over(Window.partitionBy(column).orderBy("doc_id"))
+        place = F.row_number().over(Window.partitionBy("toxic", column).orderBy("doc_id"))
         left = left.withColumn("_place", place).where("_place = 1").drop("_place")
-    return written(terms.join(left.select("doc_id"), "doc_id", "left_semi")
-                   .dropDuplicates(["doc_id"]).select("doc_id", "toxic", "terms", "counts"),
-                   "thinned")
+    counted = left.select("doc_id", F.lit(True).alias("counted"))
+    return written(thinned.join(counted, "doc_id", "left").select(
+        "doc_id", "toxic", "terms", "counts", F.coalesce("counted", F.lit(False)).alias("counted")),
+        "thinned")
 
 
-def select_terms(chosen: DataFrame, params: ToxicityParams) -> dict[int, int]:
-    """Terms that go with the label, with the number of examples that have them."""
+def select_terms(chosen: DataFrame, params: ToxicityParams) -> list[int]:
+    """Terms that go with the label."""
+    chosen = chosen.where("counted")
     total = chosen.agg(F.count("toxic").alias("n"), F.sum("toxic").alias("t")).first()
     n, t = total["n"], total["t"] or 0
     if not t or t == n:
-        return {}
+        return []
     seen = written(chosen.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
         F.count("toxic").alias("df"), F.sum("toxic").alias("a"))
         .where(F.col("df") >= params.min_examples_with_term), "terms")
@@ -107,88 +116,121 @@ def select_terms(chosen: DataFrame, params: ToxicityParams) -> dict[int, int]:
     bound = -F.col("df") * (divergence(share, t / n) + divergence(1 - share, 1 - t / n))
     kept = seen.where(bound <= math.log(params.chance / max(1, seen.count())))
     # Terms of the bounded sample; those beyond chance are few.
-    return {r["term"]: r["df"] for r in kept.select("term", "df").orderBy("term").collect()}
+    return [r["term"] for r in kept.select("term").orderBy("term").collect()]
 
 
 class BlockMaxIndex:
-    """Exact k nearest examples by cosine over sparse unit vectors."""
+    """Exact k nearest examples by cosine over sparse unit vectors.
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int):
+    A vector is a dictionary of weights by term, or an array of terms and one of their weights.
+    """
+
+    FREQUENT = 8  # lists longer than the examples divided by this are dense
+
+    def __init__(self, vectors: list, n_terms: int, block: int):
         self.n, self.block = len(vectors), block
         self.blocks = -(-self.n // block) if self.n else 0
-        lists = [([], []) for _ in range(n_terms)]
-        for i, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                lists[term][0].append(i)
-                lists[term][1].append(weight)
-        self.at = [np.array(a, np.int64) for a, _ in lists]
-        self.weight = [np.array(w) for _, w in lists]
-        self.best = np.zeros((n_terms, self.blocks))
-        for term in range(n_terms):
-            np.maximum.at(self.best[term], self.at[term] // block, self.weight[term])
-
-    def search(self, query: dict[int, float], k: int, without: int = -1):
+        vectors = [_arrays(v) for v in vectors]
+        example = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in vectors])
+        terms = np.concatenate([t for t, _ in vectors]) if self.n else np.zeros(0, np.int64)
+        weights = np.concatenate([w for _, w in vectors]) if self.n else np.zeros(0)
+        df = np.bincount(terms, minlength=n_terms)
+        frequent = np.flatnonzero(df * self.FREQUENT > self.n)
+        self.dense = np.full(n_terms, -1, np.int32)  # column of a frequent term
+        self.dense[frequent] = np.arange(len(frequent))
+        column = self.dense[terms]
+        rows = np.zeros((self.blocks * block, len(frequent)))
+        rows[example[column >= 0], column[column >= 0]] = weights[column >= 0]
+        self.rows = rows.reshape(self.blocks, block, len(frequent))
+        self.best = self.rows.max(axis=1) if self.n else np.zeros((0, len(frequent)))
+        rare = np.flatnonzero(column < 0)
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.at, self.weight = example[rare], weights[rare]
+        self.first = np.searchsorted(terms[rare], np.arange(n_terms + 1))
+
+    def search(self, query, k: int, without: int = -1):
         """``(example, cosine)`` of the k nearest, higher first, then by example number.
 
         Examples that share no term with the query have cosine 0 and are not neighbours.
         """
-        terms = list(query)
-        bound = sum(query[t] * self.best[t] for t in terms) if terms else np.zeros(self.blocks)
-        found: list[tuple[float, int]] = []
-        floor = 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            # Bounds are sums of products that the scores add up in the same order.
-            if bound[b] <= 0 or (len(found) >= k and bound[b] < floor - 1e-12):
+        terms, weights = _arrays(query)
+        if not len(terms) or not self.n:
+            return []
+        column = self.dense[terms]
+        dense = np.zeros(self.best.shape[1])
+        dense[column[column >= 0]] = weights[column >= 0]
+        terms, weights = terms[column < 0], weights[column < 0]
+        size = self.first[terms + 1] - self.first[terms]
+        ends = np.cumsum(size)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
+            self.first[terms] - ends + size, size)
+        partial = np.bincount(self.at[place], self.weight[place] * np.repeat(weights, size),
+                              minlength=self.blocks * self.block).reshape(self.blocks, self.block)
+        bound = partial.max(axis=1) + self.best @ dense
+        order = np.argsort(-bound, kind="stable")
+        found, scores = np.zeros(0, np.int64), np.zeros(0)
+        begin, step, floor = 0, 8, 0.0
+        while begin < self.blocks:
+            blocks = order[begin:begin + step]
+            # Bounds and scores add up the same products in different orders.
+            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= floor - 1e-8)]
+            if not len(blocks):
                 break
-            low, high = b * self.block, (b + 1) * self.block
-            score = np.zeros(self.block)
-            for t in terms:
-                a, z = np.searchsorted(self.at[t], [low, high])
-                score[self.at[t][a:z] - low] += query[t] * self.weight[t][a:z]
-            found += [(-round(float(score[i]), 9), int(low + i)) for i in np.flatnonzero(score)
-                      if low + i != without]
-            if len(found) >= k:
-                found.sort()
-                del found[k:]
-                floor = -found[-1][0]
-        found.sort()
-        return [(i, -s) for s, i in found[:k]]
+            exact = np.round(partial[blocks] + self.rows[blocks] @ dense, 9).ravel()
+            number = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+            good = (exact > 0) & (exact >= floor) & (number != without)
+            found = np.concatenate([found, number[good]])
+            scores = np.concatenate([scores, exact[good]])
+            best = np.lexsort((found, -scores))[:k]
+            found, scores = found[best], scores[best]
+            floor = scores[-1] if len(found) == k else 0.0
+            begin, step = begin + step, step * 2
+        return list(zip(found.tolist(), scores.tolist()))
+
+
+def _arrays(vector) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(vector, dict):
+        return np.array(list(vector), np.int64), np.array(list(vector.values()), np.float64)
+    return vector
 
 
 class Model:
-    """Vocabulary, index, labels and calibration; all of it bounded by the example sample."""
+    """Vocabulary, index and labels; all of it bounded by the example sample.
+
+    ``rows`` is a table of ``doc_id, toxic, terms, counts`` by doc_id, ``selected`` the terms that
+    are emphasised.
+    """
 
-    def __init__(self, document_counts: dict[int, int], rows: list, params: ToxicityParams):
+    def __init__(self, rows: pa.Table, selected: list[int], params: ToxicityParams):
         self.params = params
-        self.terms = np.array(sorted(t & 0xFFFFFFFFFFFFFFFF for t in document_counts), np.uint64)
-        n = max(1, len(rows))
-        df = {t & 0xFFFFFFFFFFFFFFFF: c for t, c in document_counts.items()}
-        self.idf = np.array([np.log((1 + n) / (1 + df[int(t)])) + 1 for t in self.terms])
-        self.ids = [r["doc_id"] for r in rows]
-        self.labels = np.array([r["toxic"] for r in rows], np.int64)
-        vectors = [self.vector(np.array(r["terms"], np.int64).view(np.uint64),
-                               np.array(r["counts"], np.int64)) for r in rows]
+        rows = rows.combine_chunks()
+        self.ids = rows["doc_id"].to_numpy()
+        self.labels = rows["toxic"].to_numpy().astype(np.int64)
+        lists = [rows[name].combine_chunks() for name in ("terms", "counts")]
+        terms, counts = (c.flatten().to_numpy(zero_copy_only=False) for c in lists)
+        bounds = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy())]).astype(int)
+        terms = terms.astype(np.int64).view(np.uint64)
+        self.terms, df = np.unique(terms, return_counts=True)
+        self.weights = np.log((1 + len(self.ids)) / (1 + df)) + 1
+        self.weights[np.isin(self.terms, np.array(selected, np.int64).view(np.uint64))] *= \
+            params.emphasis
+        vectors = [self.vector(terms[a:z], counts[a:z]) for a, z in zip(bounds[:-1], bounds[1:])]
         self.index = BlockMaxIndex(vectors, len(self.terms), params.block)
-        none = [not v for v in vectors]
-        self.without = self._rate(self.labels[none])
-        votes = np.array([self.vote(self.index.search(v, params.neighbours, without=i))
-                          for i, v in enumerate(vectors) if v])
-        self.steps, self.values = isotonic(votes, self.labels[[not x for x in none]])
+        self.without = self._rate(self.labels[np.diff(bounds) == 0])
         self.cache: dict[tuple, tuple] = {}
 
     def _rate(self, labels: np.ndarray) -> float:
         return float((labels.sum() + 0.5) / (len(labels) + 1 + 4 * (len(labels) == 0)))
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> dict[int, float]:
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The unit TF-IDF vector of distinct terms over the vocabulary."""
         if not len(self.terms) or not len(terms):
-            return {}
+            return np.zeros(0, np.int64), np.zeros(0)
         place = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[place] == terms
         place, counts = place[known], counts[known]
-        weight = (1 + np.log(counts)) * self.idf[place]
-        length = np.sqrt((weight * weight).sum())
-        return {int(p): float(w / length) for p, w in sorted(zip(place, weight))}
+        weight = (1 + np.log(counts)) * self.weights[place]
+        return place, weight / np.sqrt((weight * weight).sum()) if len(weight) else weight
 
     def vote(self, found: list[tuple[int, float]]) -> float:
         if not found:
@@ -196,19 +238,20 @@ class Model:
         weight = np.array([1 / (max(0.0, 1 - s) + self.params.softness) for _, s in found])
         return float((weight * self.labels[[i for i, _ in found]]).sum() / weight.sum())
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list, list]:
-        """Calibrated score, nearest example ids and their cosines."""
+    def own_vote(self, doc_id: int, terms: np.ndarray, counts: np.ndarray) -> float:
+        """The vote on an example by all others."""
+        return self.vote(self.index.search(self.vector(terms, counts), self.params.neighbours,
+                                           without=int(np.searchsorted(self.ids, doc_id))))
+
+    def judge(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float | None, list, list]:
+        """Vote, nearest example ids and their cosines; no vote if the vector is empty."""
         key = (terms.tobytes(), counts.tobytes())
         if key not in self.cache:
             query = self.vector(terms, counts)
-            if not query or not len(self.steps):
-                made = (self.without, [], [])
-            else:
-                found = self.index.search(query, self.params.neighbours)
-                at = np.searchsorted(self.steps, self.vote(found) + 1e-12, side="right") - 1
-                made = (float(self.values[max(0, at)]), [self.ids[i] for i, _ in found[:3]],
-                        [s for _, s in found[:3]])
-            if len(self.cache) >= 100_000:
+            found = self.index.search(query, self.params.neighbours)
+            made = (self.vote(found) if len(query[0]) else None,
+                    [int(self.ids[i]) for i, _ in found[:3]], [s for _, s in found[:3]])
+            if len(self.cache) >= 20_000:
                 self.cache.clear()
             self.cache[key] = made
         return self.cache[key]
@@ -234,7 +277,23 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
             np.array([(g[1] + 0.5) / (g[2] + 1) for g in groups]))
 
 
-def _score_batches(shared):
+def _own_votes(shared):
+    def run(batches):
+        for batch in batches:
+            votes = [shared.value.own_vote(i, np.array(t, np.int64).view(np.uint64),
+                                           np.array(c, np.int64))
+                     for i, t, c in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3)])]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(1)],
+                                             ["vote", "toxic"])
+    return run
+
+
+def _score_batches(shared, steps: np.ndarray, values: np.ndarray):
+    def score(model: Model, vote: float | None) -> float:
+        if vote is None or not len(steps):
+            return model.without
+        return float(values[max(0, np.searchsorted(steps, vote + 1e-12, side="right") - 1)])
+
     def run(batches):
         model: Model = shared.value
         for batch in batches:
@@ -242,34 +301,21 @@ def _score_batches(shared):
             for a, b in slices(offsets):
                 words = textscan.scan(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a],
                                       textscan.letter_table())
-                known = np.zeros(0, np.int64)
-                if len(model.terms) and len(words.hash):
-                    place = np.minimum(np.searchsorted(model.terms, words.hash),
-                                       len(model.terms) - 1)
-                    known = np.flatnonzero(model.terms[place] == words.hash)
-                bounds = np.searchsorted(known, words.first)
-                out = []
-                for lo, hi in zip(bounds[:-1], bounds[1:]):
-                    out.append(model.score(*np.unique(words.hash[known[lo:hi]],
-                                                      return_counts=True)))
+                out = [model.judge(*np.unique(words.hash[lo:hi], return_counts=True))
+                       for lo, hi in zip(words.first[:-1], words.first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([s for s, _, _ in out]),
+                    [batch.column(0).slice(a, b - a),
+                     pa.array([score(model, v) for v, _, _ in out]),
                      pa.array([e for _, e, _ in out], pa.list_(pa.int64())),
                      pa.array([c for _, _, c in out], pa.list_(pa.float64()))],
                     ["doc_id", "score", "nearest", "cosines"])
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> Model:
-    chosen = examples(docs, labels, params)
-    counts = select_terms(chosen, params)
-    wanted = F.array(*[F.lit(t) for t in sorted(counts)]).cast("array<long>")
-    pairs = F.filter(F.arrays_zip("terms", "counts"),
-                     lambda p: F.array_contains(wanted, p["terms"]))
-    rows = chosen.select("doc_id", "toxic", pairs.alias("p")).select(
-        "doc_id", "toxic", F.col("p.terms").alias("terms"), F.col("p.counts").alias("counts"))
-    # At most max_examples rows with the few selected terms of each.
-    return Model(counts, rows.orderBy("doc_id").collect(), params)
+def learn(chosen: DataFrame, params: ToxicityParams) -> Model:
+    rows = chosen.select("doc_id", "toxic", "terms", "counts").orderBy("doc_id")
+    # At most max_examples rows of the sample.
+    return Model(rows.toArrow(), select_terms(chosen, params), params)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame,
@@ -277,8 +323,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame,
     """``doc_id, held_out, score, predicted, nearest, cosines`` for every row of ``docs``.
 
     ``docs(doc_id, text)``, ``labels(doc_id, toxic)``. ``score`` is calibrated to the rate of the
-    label among examples; a text without any selected term, such as a null or empty one, gets the
-    rate of the examples without. ``predicted`` is 1 from a score of 0.5 on.
+    label among examples; a text without any word of the sample, such as a null or empty one, gets
+    the rate of the examples without words. ``predicted`` is 1 from a score of 0.5 on.
 
     Labels that are null or have a null id are not learned from; of a doc_id with several labels
     the largest counts. Without labels of both kinds the score is a prior of 0.1. Null doc_id:
@@ -288,10 +334,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame,
     spark = docs.sparkSession
     ship_code(spark)
     docs = only(docs, doc_id="long", text="string")
-    model = spark.sparkContext.broadcast(learn(docs, only(labels, doc_id="long", toxic="int"),
-                                               params))
+    chosen = examples(docs, only(labels, doc_id="long", toxic="int"), params)
+    model = spark.sparkContext.broadcast(learn(chosen, params))
+    # Two numbers for each of at most max_examples rows.
+    votes = chosen.where(F.size("terms") > 0).select("doc_id", "toxic", "terms", "counts") \
+        .repartition(spark.sparkContext.defaultParallelism) \
+        .mapInArrow(_own_votes(model), "vote double, toxic int").toArrow()
+    steps, values = isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
     scored = docs.mapInArrow(
-        _score_batches(model),
+        _score_batches(model, steps, values),
         "doc_id long, score double, nearest array<long>, cosines array<double>")
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"),
