@@ -19,17 +19,28 @@ without itself. The nearest examples are returned as evidence.
 from __future__ import annotations
 
 import math
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.dataset import dataset
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import textscan
-from wardflow.llm.common import only, ship_code, slices, text_buffers, written
+from wardflow.llm.common import (
+    file_system,
+    only,
+    scratch_path,
+    ship_code,
+    slices,
+    text_buffers,
+    written,
+)
 
 MIN_HASHES = 4
+PIECE = 8 << 20  # bytes of a row that holds a part of the pickled model
 MIN_HASH_COLUMNS = [f"least{i}" for i in range(MIN_HASHES)]
 
 
@@ -312,10 +323,52 @@ def _score_batches(shared, steps: np.ndarray, values: np.ndarray):
     return run
 
 
-def learn(chosen: DataFrame, params: ToxicityParams) -> Model:
-    rows = chosen.select("doc_id", "toxic", "terms", "counts").orderBy("doc_id")
-    # At most max_examples rows of the sample.
-    return Model(rows.toArrow(), select_terms(chosen, params), params)
+def _model_batches(selected: list[int], params: ToxicityParams):
+    """The model of all rows of the one partition, pickled, in pieces."""
+    def run(batches):
+        rows = [b for b in batches if b.num_rows]
+        if rows:
+            whole = pickle.dumps(Model(pa.Table.from_batches(rows), selected, params), protocol=5)
+            for number, first in enumerate(range(0, len(whole), PIECE)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([whole[first:first + PIECE]], pa.binary())],
+                    ["number", "piece"])
+    return run
+
+
+class StoredModel:
+    """A model in the shared folder; each Python worker reads it once."""
+
+    _loaded: tuple[str, Model] | None = None
+
+    def __init__(self, path: str, params: ToxicityParams):
+        self.path, self.params = path, params
+
+    @property
+    def value(self) -> Model:
+        if StoredModel._loaded is None or StoredModel._loaded[0] != self.path:
+            system, path = file_system(self.path)
+            pieces = dataset(path, filesystem=system, format="parquet",
+                             schema=pa.schema([("number", pa.int64()), ("piece", pa.binary())])
+                             ).to_table().sort_by("number")["piece"]
+            made = pickle.loads(b"".join(p.as_buffer() for p in pieces)) if len(pieces) else \
+                Model(pa.table({"doc_id": pa.array([], pa.int64()),
+                                "toxic": pa.array([], pa.int32()),
+                                "terms": pa.array([], pa.list_(pa.int64())),
+                                "counts": pa.array([], pa.list_(pa.int64()))}), [], self.params)
+            StoredModel._loaded = self.path, made
+        return StoredModel._loaded[1]
+
+
+def learn(chosen: DataFrame, params: ToxicityParams) -> StoredModel:
+    """Built by one task, from at most ``max_examples`` rows; neither it nor they reach the driver."""
+    rows = chosen.select("doc_id", "toxic", "terms", "counts").repartition(1) \
+        .sortWithinPartitions("doc_id")
+    pieces = rows.mapInArrow(_model_batches(select_terms(chosen, params), params),
+                             "number long, piece binary")
+    path = scratch_path(chosen.sparkSession, "toxicity-model")
+    pieces.write.parquet(path)
+    return StoredModel(path, params)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame,
@@ -335,7 +388,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame,
     ship_code(spark)
     docs = only(docs, doc_id="long", text="string")
     chosen = examples(docs, only(labels, doc_id="long", toxic="int"), params)
-    model = spark.sparkContext.broadcast(learn(chosen, params))
+    model = learn(chosen, params)
     # Two numbers for each of at most max_examples rows.
     votes = chosen.where(F.size("terms") > 0).select("doc_id", "toxic", "terms", "counts") \
         .repartition(spark.sparkContext.defaultParallelism) \
