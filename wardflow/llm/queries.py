@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardflow.llm.bpe_codec import BpeParams, encode_documents
 from wardflow.llm.common import table
@@ -55,7 +56,8 @@ def op5_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, as spans."""
-    return find_pii(table(spark, sf_dir, "documents")).drop("found")
+    found = find_pii(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("found").cast("long")).drop("found")
 
 
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
