@@ -374,6 +374,40 @@ _RAW_ADM = f"""admission_id, patient_id,
   CAST(total_cost_usd AS VARCHAR) AS total_cost_usd"""
 
 
+# What Silver casts the text columns of an admission to.
+_ADM_KINDS = {
+    "patient_id": "string", "admission_id": "string", "admission_date": "date",
+    "discharge_date": "date", "department": "string", "diagnosis": "string", "age": "long",
+    "gender": "string", "attending_doctor": "string", "insurance_id": "string",
+    "insurer_name": "string", "readmission": "boolean", "icu_stay": "boolean",
+    "num_procedures": "long", "total_cost_usd": "decimal",
+}
+
+
+def _profile() -> str:
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{k}' AS declared, TRIM(CAST({c} AS VARCHAR)) AS v FROM raw"
+        for c, k in _ADM_KINDS.items())
+    day, moment = r"\d{4}-\d{2}-\d{2}", r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
+    holds = {
+        "boolean": "LOWER(v) IN ('true', 'false')",
+        "long": "regexp_full_match(v, '[+-]?[0-9]{1,18}')",
+        "decimal": r"regexp_full_match(v, '[+-]?[0-9]{1,18}(\.[0-9]+)?')",
+        "date": f"regexp_full_match(v, '{day}') AND TRY_CAST(v AS DATE) IS NOT NULL",
+        "timestamp": f"regexp_full_match(v, '{moment}') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+    }
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE {h}) AS as_{k}" for k, h in holds.items())
+    kinds = " ".join(f"WHEN as_{k} = filled THEN '{k}'" for k in holds)
+    return f"""SELECT * FROM (WITH raw AS (SELECT {_RAW_ADM} FROM adm),
+      counted AS (SELECT column_name, declared, COUNT(*) AS rows,
+          COUNT(*) FILTER (WHERE v <> '') AS filled, {counts}
+        FROM ({values}) GROUP BY column_name, declared),
+      named AS (SELECT *, CASE WHEN filled = 0 THEN 'none' {kinds} ELSE 'string' END AS inferred
+        FROM counted)
+      SELECT *, declared = 'string' OR inferred = 'none' OR declared = inferred
+        OR (declared = 'decimal' AND inferred = 'long') AS fits FROM named)"""
+
+
 def _raw_lab(partition: str) -> str:
     def hours(c):
         return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
@@ -410,6 +444,7 @@ _FINALS = {
       FROM (SELECT COALESCE(strftime(admission_date, '%Y%m'), 'undated') AS _batch_id,
               CAST(admission_date AS TIMESTAMP) AS t FROM adm)
       GROUP BY _batch_id ORDER BY MAX(t) DESC NULLS LAST, _batch_id DESC LIMIT 3""",
+    "delivery_profile": _profile(),
     "warehouse_export": f"""SELECT CAST(admission_id AS VARCHAR) AS admission_id,
         CAST(patient_id AS VARCHAR) AS patient_id, {_day("admission_date")} AS admission_date,
         {_day("discharge_date")} AS discharge_date, department, diagnosis, age,

@@ -17,6 +17,7 @@ from wardflow.operators import admissions as adm
 from wardflow.operators import (dedup, gold, ingest, monthly_state, patient_dim, quality,
                                 reports)
 from wardflow.operators import labs as lab
+from wardflow.operators.profile import delivery_profile
 from wardflow.plans import audit, models, serving
 from wardflow.session import shared_folder
 from wardflow.sources.keyed import KeyedTable
@@ -209,6 +210,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
         d.bronze, B.BATCH, K.ADMISSIONS_SOURCE).drop("_ingested_at"),
     "write_verify": lambda d: ingest.write_verify(d.bronze, "department"),
     "load_history": _last_three_loads,
+    "delivery_profile": lambda d: delivery_profile(d.bronze, K.ADMISSIONS_KINDS),
     "warehouse_export": lambda d: warehouse_export(adm.with_lineage(
         d.valid, B.BATCH)).drop("_silver_processed_at"),
     "warehouse_rejects": lambda d: warehouse_rejects(adm.with_lineage(

@@ -159,3 +159,18 @@ WAREHOUSE_WIDTHS = {
     "attending_doctor": 20, "insurance_id": 20, "insurer_name": 50, "age_group": 10,
     "cost_tier": 10, "admission_quarter": 5, "dq_flag": 50,
 }
+
+# Kinds that Silver casts the text columns of a delivery to.
+ADMISSIONS_KINDS = {
+    "patient_id": "string", "admission_id": "string", "admission_date": "date",
+    "discharge_date": "date", "department": "string", "diagnosis": "string", "age": "long",
+    "gender": "string", "attending_doctor": "string", "insurance_id": "string",
+    "insurer_name": "string", "readmission": "boolean", "icu_stay": "boolean",
+    "num_procedures": "long", "total_cost_usd": "decimal",
+}
+LABS_KINDS = {
+    "lab_id": "string", "patient_id": "string", "admission_id": "string", "test_name": "string",
+    "marker": "string", "result_value": "decimal", "unit": "string", "reference_low": "decimal",
+    "reference_high": "decimal", "is_critical": "boolean", "collected_at": "timestamp",
+    "resulted_at": "timestamp", "lab_status": "string",
+}
