@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from wardflow import constants as K
 from wardflow.operators.profile import changed_types, delivery_profile
+from wardflow.plans.batch import BatchRun
+from wardflow.sources.lake import Lake
 
 KINDS = {"a": "long", "b": "decimal", "c": "date", "d": "boolean", "e": "string", "f": "timestamp"}
 DDL = ", ".join(f"{c} string" for c in KINDS)
@@ -48,3 +50,25 @@ def test_one_aggregate_and_one_shuffle(spark):
     plan = profile(spark, [("1", "1", None, None, None, None)])._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_a_run_notes_the_profile_of_its_delivery(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+
+    def csv(name, kinds, **values):
+        path = tmp_path / name
+        path.write_text(",".join(kinds) + "\n" + ",".join(values.get(c, "") for c in kinds) + "\n")
+        return str(path)
+
+    runs = []
+    for batch, age in (("b1", "42"), ("b2", "4.2")):
+        run = BatchRun(spark, lake, batch)
+        run.ingest(csv(f"a{batch}.csv", K.ADMISSIONS_KINDS, admission_id="1", department="x",
+                       age=age),
+                   csv(f"l{batch}.csv", K.LABS_KINDS, lab_id="1", test_name="t"))
+        runs.append(run)
+    before, after = (r.profile(K.ADMISSIONS_SOURCE) for r in runs)
+    assert after.count() == len(K.ADMISSIONS_KINDS)
+    assert [r.column_name for r in after.filter("not fits").collect()] == ["age"]
+    assert [tuple(r) for r in changed_types(before, after).collect()] == [("age", "long", "decimal")]
+    assert runs[1].profile(K.LABS_SOURCE).count() == len(K.LABS_KINDS)

@@ -9,6 +9,8 @@ from wardflow.functions.parsing import iso_date, iso_timestamp
 
 # Narrowest first; a column is of the first type that all its filled values have.
 KINDS = ["boolean", "long", "decimal", "date", "timestamp"]
+PROFILE_DDL = ("rows long, column_name string, declared string, filled long, "
+               + ", ".join(f"as_{k} long" for k in KINDS) + ", inferred string, fits boolean")
 INTEGER = r"^[+-]?[0-9]{1,18}\z"
 DECIMAL = r"^[+-]?[0-9]{1,18}(\.[0-9]+)?\z"
 

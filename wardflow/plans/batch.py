@@ -20,6 +20,7 @@ from wardflow.operators import gold, ingest, monthly_state, patient_dim, quality
 from wardflow.operators import incremental as merging
 from wardflow.operators import labs as lab
 from wardflow.operators.dedup import LAB_KEY
+from wardflow.operators.profile import PROFILE_DDL, delivery_profile
 from wardflow.plans import audit, models
 from wardflow.sources import files
 from wardflow.sources.keyed import KeyedTable
@@ -48,6 +49,7 @@ GOLD_LOS = "gold/avg_los_by_department"
 GOLD_MART = "gold/mart_dept_monthly_kpis"
 AUDIT = "audit/steps"
 EXPECTATIONS = "audit/expectations"
+PROFILES = "audit/profiles"
 
 # What a run publishes.
 TABLES = [SILVER_ADMISSIONS, SILVER_LABS, PATIENT_DIM, GOLD_KPIS, GOLD_READMISSIONS, GOLD_FINANCE,
@@ -88,17 +90,25 @@ class BatchRun:
     # --- bronze ----------------------------------------------------------
 
     def ingest(self, admissions_csv: str | list[str], labs_csv: str | list[str]) -> None:
-        """Well-formed lines go to Bronze, the text of the others to its reject table."""
-        for step, path, ddl, table, source, folder in (
-            ("ingest_admissions", admissions_csv, K.ADMISSIONS_RAW_DDL, BRONZE_ADMISSIONS,
-             K.ADMISSIONS_SOURCE, "department"),
-            ("ingest_labs", labs_csv, K.LABS_RAW_DDL, BRONZE_LABS, K.LABS_SOURCE, "test_name"),
+        """Well-formed lines go to Bronze, the text of the others to its reject table.
+
+        What the columns of the delivery hold is noted beside, one row per column.
+        """
+        for step, path, ddl, kinds, table, source, folder in (
+            ("ingest_admissions", admissions_csv, K.ADMISSIONS_RAW_DDL, K.ADMISSIONS_KINDS,
+             BRONZE_ADMISSIONS, K.ADMISSIONS_SOURCE, "department"),
+            ("ingest_labs", labs_csv, K.LABS_RAW_DDL, K.LABS_KINDS, BRONZE_LABS, K.LABS_SOURCE,
+             "test_name"),
         ):
             lines = ingest.audit_columns(files.read_csv_lines(self.spark, path, ddl),
                                          self.batch_id, source, source_file=True)
             seen = self.lake.write_batch(files.well_formed(lines), table, self.batch_id, [folder])
             bad = self.lake.write_batch(files.malformed(lines), BRONZE_REJECTS,
                                         f"{self.batch_id}.{source}")["rows"]
+            landed = self.bronze(table).filter(F.col("_batch_id") == self.batch_id)
+            self.lake.write_batch(
+                delivery_profile(landed, kinds).withColumn("source", F.lit(source)), PROFILES,
+                f"{self.batch_id}.{source}")
             self.log(step, "bronze", seen["rows"] + bad, seen["rows"],
                      f"rejected={bad}" if bad else "")
 
@@ -106,6 +116,11 @@ class BatchRun:
         ddl = K.ADMISSIONS_RAW_DDL if table == BRONZE_ADMISSIONS else K.LABS_RAW_DDL
         return self.lake.read_batches(table, f"{ddl}, {_BRONZE_AUDIT_DDL}")
 
+    def profile(self, source: str):
+        """What the columns of this run's delivery hold."""
+        return self.lake.read_batches(PROFILES, f"{PROFILE_DDL}, source string, _batch_id string") \
+            .filter(F.col("_batch_id") == f"{self.batch_id}.{source}").drop("_batch_id")
+
     # --- silver ----------------------------------------------------------
 
     def build_silver(self) -> None:
