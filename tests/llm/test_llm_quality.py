@@ -135,3 +135,18 @@ def test_repeated_words(text):
     raw = text.encode()
     got = pr.base_features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64))
     assert [int(got[f][0]) for f in pr.FEATURES] == list(base_quality(text)[:5])
+
+
+def test_lookup_index_is_no_larger_than_the_hashes():
+    pick = np.random.default_rng(3)
+    for n in (1, 2, 3, 1000, 4096, 5000):
+        grams = np.unique(pick.integers(0, 1 << 40, n * 2))[:n]
+        rows = pa.table({"slot": ["2" * 16] * n, "gram": grams,
+                         "value": np.arange(n, dtype=np.int32),
+                         "long_value": np.arange(n, dtype=np.int32)})
+        values = pr.PartValues(rows)
+        assert len(values.first) <= 2 * n
+        keys = pr.long_keys(grams.astype(np.uint64), pr.slot_numbers(rows["slot"]))
+        bounds = np.arange(len(values.first), dtype=np.uint64) << values.shift
+        assert (values.first == np.searchsorted(values.keys, bounds)).all()
+        assert (values.values[0][values.places(keys)] == np.arange(n)).all()

@@ -272,10 +272,12 @@ class PartValues:
         order = np.argsort(keys)
         self.keys = keys[order]
         self.values = [rows[c].to_numpy()[order] for c in ("value", "long_value")]
-        bits = max(1, len(keys).bit_length() + 1)
+        # At most two places per hash, counted from the leading bits: no array of 64-bit bounds.
+        bits = max(1, len(keys).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.first = np.searchsorted(
-            self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        below = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.zeros(1 << bits, np.int32)
+        np.cumsum(below[:-1], out=self.first[1:])
 
     def places(self, wanted: np.ndarray) -> np.ndarray:
         place = self.first[wanted >> self.shift]
@@ -296,7 +298,12 @@ def load_values(path: str, folder: int, part: int) -> PartValues:
                            filters=[("part", "==", part)], filesystem=where, partitioning=None)
              for f in where.get_file_info(pafs.FileSelector(inner))
              if f.base_name.endswith(".parquet")]
-    return PartValues(pa.concat_tables(found))
+    rows = pa.concat_tables(found)
+    del found
+    values = PartValues(rows)
+    del rows
+    pa.default_memory_pool().release_unused()  # the rows are numpy arrays now
+    return values
 
 
 def _sums(per_item: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -369,7 +376,7 @@ def _score_batches(path: str):
                     sums = [np.zeros(b - a, np.int64)] * 2
                     if len(text):
                         if here != part[a]:
-                            here = part[a]
+                            here, values = part[a], None  # one part's values at a time
                             values = load_values(path, batch.column(3)[int(a)].as_py(), int(here))
                         slots = slot_numbers(batch.column(1).slice(a, b - a))
                         place = values.places(long_keys(long_ids(text, off),
